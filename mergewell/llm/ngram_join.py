@@ -368,3 +368,19 @@ def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_co
     result = store.write(rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")), "result")
     store.drop("profile", "classes", "shared", "star", "members", "sets", "links", "rest", "more", "by_class")
     return result
+
+
+def keep_one(docs: DataFrame, m: Measure) -> DataFrame:
+    """docs with one row of each component: that with the smallest doc_id, and if that repeats, its smallest text.
+
+    Rows without shingles or without an id all stay."""
+    found = near_duplicates(docs, m).where("doc_id IS NOT NULL")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    few = gone.count() <= MOST_BROADCAST
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not again.limit(1).count():
+        return kept
+    row = F.struct("text", *[c for c in docs.columns if c != "text"])
+    repeats = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
+    return kept.join(again, "doc_id", "left_anti").unionByName(repeats.select(*docs.columns))
