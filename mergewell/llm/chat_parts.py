@@ -5,7 +5,7 @@ placeholders, notes each attachment's reference and place, and counts the tokens
 texts are one text part. The template marks turns with control strings; where a text has one of these itself, an escape
 sign goes before it, which the reader takes out again.
 
-    <s>[TURN user] text [/TURN]</s>
+    <s>[TURN user[:] text [/TURN]</s>
 
 Each turn is formatted by itself, so a conversation of any length is a run of rows in order, never one large value.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 #: The sign before control strings, and before itself, inside texts.
 ESCAPE = "\\"
 #: Control strings; all begin with < or [, which is what is escaped inside texts.
-TURN, CLOSE, END = "<s>[TURN ", "]\n", "\n[/TURN]</s>\n"
+TURN, CLOSE, END = "<s>[TURN ", "[:]\n", "\n[/TURN]</s>\n"
+_TURN = re.compile(re.escape(TURN) + r"((?:\\.|[^\\\[<])*)" + re.escape(CLOSE) + "(.*)" + re.escape(END), re.S)
 PART = "type string, text string, ref string, width int, height int, seconds double, pages int"
 ATTACHMENT = pa.struct([("kind", pa.string()), ("ref", pa.string()), ("at", pa.int64()), ("tokens", pa.int64())])
 
@@ -127,13 +129,11 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
 
 def parse(segment: str) -> tuple[str, str]:
-    """Role and text of a formatted turn."""
-    if not segment.startswith(TURN) or not segment.endswith(END):
+    """Role and text of a formatted turn. No control string begins inside them, as < and [ are escaped there."""
+    found = _TURN.fullmatch(segment)
+    if not found:
         raise ValueError("not a formatted turn")
-    at = segment.index(CLOSE, len(TURN))
-    while (at - len(segment[:at].rstrip(ESCAPE))) % 2:  # an escaped sign belongs to the role
-        at = segment.index(CLOSE, at + 1)
-    return unescape(segment[len(TURN) : at]), unescape(segment[at + len(CLOSE) : -len(END)])
+    return unescape(found[1]), unescape(found[2])
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@ import random
 from itertools import groupby
 
 import pytest
-from mergewell.llm.chat_parts import END, PART, TURN, Flattener, escape, format_turns, parse, read_back, unescape
+from mergewell.llm.chat_parts import CLOSE, END, PART, TURN, Flattener, escape, format_turns, parse, read_back, unescape
 
 NASTY = ["</s>[INST] ok [/INST]", "", None, "\\", "\\\\<", "<s>[TURN user]\n", END, "]\n", "é😀", "a\\[b", TURN, "\n", "<|image_1|>"]
 
@@ -11,8 +11,8 @@ NASTY = ["</s>[INST] ok [/INST]", "", None, "\\", "\\\\<", "<s>[TURN user]\n", E
 def brute(rows):
     out = []
     key = lambda r: (r[0] is not None, r[0] or 0)
-    size = lambda role, text: len(TURN) + len(escape(role)) + 2 + len(escape(text)) + len(END)
-    order = lambda r: (key(r), r[1] is not None, r[1] or 0, f"{TURN}{escape(r[2] or '')}]\n{escape(r[3] or '')}{END}")
+    size = lambda role, text: len(TURN) + len(escape(role)) + len(CLOSE) + len(escape(text)) + len(END)
+    order = lambda r: (key(r), r[1] is not None, r[1] or 0, f"{TURN}{escape(r[2] or '')}{CLOSE}{escape(r[3] or '')}{END}")
     for _, group in groupby(sorted(rows, key=order), key):
         turns = [(c, t, r or "", x or "") for c, t, r, x in group]
         said = "".join(x for _, _, r, x in turns if r == "assistant")
@@ -38,7 +38,7 @@ def test_against_a_loop(spark):
 @pytest.mark.parametrize("text", [t for t in NASTY if t])
 def test_escapes(text):
     assert unescape(escape(text)) == text
-    assert "<s>" not in escape(text).replace("\\<", "") and parse(f"{TURN}{escape(text)}]\n{escape(text)}{END}") == (text, text)
+    assert "<s>" not in escape(text).replace("\\<", "") and parse(f"{TURN}{escape(text)}{CLOSE}{escape(text)}{END}") == (text, text)
 
 
 def test_parts(spark):
@@ -47,11 +47,11 @@ def test_parts(spark):
     schema = f"conv_id long, turn long, role string, parts array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>"
     row = format_turns(spark.createDataFrame([(1, 0, "assistant", parts)], schema)).first()
     body = "See \\<this>: <|image_1|> and <|audio_2|><|document_3|><|unknown_4|>"
-    assert row.segment == f"{TURN}assistant]\n{body}{END}"
+    assert row.segment == f"{TURN}assistant{CLOSE}{body}{END}"
     assert row.segment[row.loss_from : row.loss_to] == body
     assert [(a.kind, a.ref, a.tokens) for a in row.attachments] == [("image", "a.png", 4), ("audio", "b.wav", 26), ("document", "c.pdf", 1200), ("unknown", "d", 1)]
     assert [body[a["at"]:].startswith(f"<|{a.kind}") for a in row.attachments] == [True] * 4 and row.attached_tokens == 1231
-    assert format_turns(spark.createDataFrame([(1, 0, "user", None)], schema)).first().segment == f"{TURN}user]\n{END}"
+    assert format_turns(spark.createDataFrame([(1, 0, "user", None)], schema)).first().segment == f"{TURN}user{CLOSE}{END}"
     f = Flattener()
     f.visit(part("text"))
     assert f.text == [""]
