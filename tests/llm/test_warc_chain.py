@@ -68,7 +68,8 @@ def test_chains():
 
 
 def test_a_damaged_payload_is_noticed(spark, tmp_path):
-    write_archives(spark.createDataFrame([(1, "u", "hello world")], "page_id long, url string, html string"), f"file://{tmp_path}/a", "none")
+    page = spark.createDataFrame([(1, "u", "hello world")], "page_id long, url string, html string").coalesce(1)
+    write_archives(page, f"file://{tmp_path}/a", "none")
     file, = tmp_path.glob("a/*.txt")
     file.write_bytes(file.read_bytes().replace(b"hello", b"jello"))
     (tmp_path / "a" / f".{file.name}.crc").unlink()
