@@ -3,8 +3,8 @@
 Identity terms in labelled sentences are swapped for others of their kind, and the change of score is penalised with the
 training loss. Mentions of a group then carry no weight of their own, which reduces false positives on neutral ones.
 
-Features are the distinct words of a text, hashed. The model is trained by the driver on a bounded sample of labelled rows;
-every text is scored as a whole.
+Features are the distinct words of a text and their first bytes, hashed. The model is trained by the driver on a bounded sample
+of labelled rows; every text is scored as a whole.
 """
 
 from __future__ import annotations
@@ -35,108 +35,150 @@ IDENTITIES = [
 ]
 
 
+#: Lengths, in bytes, of the beginnings of words that are features.
+BEGINNINGS = (4, 6)
+
+
 @dataclass(frozen=True)
 class Training:
-    """sample: the most labelled rows that are learnt from, those first by a hash of their id. features: hashed words.
-    swapped: the weight of score changes under swaps. swaps: counterfactuals of a sentence with identity terms."""
+    """sample: the most labelled rows that are learnt from, those first by a hash of their id. features: hashed features.
+    least: rows of the sample that a feature must be in. chosen: features that are learnt. decay: the weight of squared weights. swapped: that of score
+    changes under swaps. swaps: counterfactuals of a text."""
 
-    sample: int = 20_000
+    sample: int = 12_000
+    least: int = 10
+    chosen: int = 3_000
     features: int = 1 << 18
     decay: float = 0.3
     swapped: float = 1.0
     swaps: int = 3
-    rounds: int = 120
+    rounds: int = 40
+
+
+def word_features(words: Words) -> np.ndarray:
+    """A row for each word: its hash, and those of its beginnings, 0 where it is shorter."""
+    size, out = words.ends - words.starts, [words.hashes]
+    for n in BEGINNINGS:
+        value = np.zeros(len(words), U64)
+        long = np.flatnonzero(size >= n)
+        for j in range(n):
+            value[long] = (value[long] << U64(8)) | words.data[words.starts[long] + j].astype(U64)
+        value[long] = mix(value[long] * U64(16) + U64(n)) | U64(1)
+        out.append(value)
+    return np.stack(out, 1)
 
 
-def _hash(word: str) -> int:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return int(Words(data, np.array([0, len(data)]), ALNUM).hashes[0])
+def _words_of(text: str) -> Words:
+    data = np.frombuffer(text.encode(), np.uint8)
+    return Words(data, np.array([0, len(data)]), ALNUM)
 
 
-def identity_sets() -> list[list[int]]:
-    return [[_hash(w) for w in line.split()] for line in IDENTITIES]
+def identity_sets() -> list[np.ndarray]:
+    """Features of the identity terms, a line each."""
+    return [word_features(_words_of(line)) for line in IDENTITIES]
 
 
 def _features(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Words]]:
     """Rows lo to hi, their distinct features and how many each has."""
     for lo, hi, data, offsets in pieces(column):
         words = Words(data, offsets, ALNUM)
-        feature, of = distinct_by_text((words.hashes % U64(n)) << U64(10), words.text_of, hi - lo)
+        every, of = word_features(words), words.text_of
+        held = every != 0
+        number = (every[held] % U64(n)) << U64(10)  # the bits that number texts
+        feature, of = distinct_by_text(number, np.broadcast_to(of[:, None], every.shape)[held], hi - lo)
         yield lo, hi, feature.astype(np.int64), np.bincount(of, minlength=hi - lo), words
 
 
-def counterfactuals(hashes: np.ndarray, sets: list[list[int]], swaps: int) -> list[np.ndarray]:
-    """Copies of a text's words with each identity term swapped for another of its kind; none if it has no such term."""
-    which = {h: (k, i) for k, line in reversed(list(enumerate(sets))) for i, h in enumerate(line)}
-    places = [(p, *which[h]) for p, h in enumerate(hashes.tolist()) if h in which]
+def counterfactuals(every: np.ndarray, sets: list[np.ndarray], swaps: int) -> list[np.ndarray]:
+    """Copies of a text's word features with each identity term swapped for another of its kind; none without such terms."""
+    which = {int(h): (k, i) for k, line in reversed(list(enumerate(sets))) for i, h in enumerate(line[:, 0])}
+    places = [(p, *which[h]) for p, h in enumerate(every[:, 0].tolist()) if h in which]
     if not places:
         return []
     out = []
     for s in range(1, swaps + 1):
-        other = hashes.copy()
+        other = every.copy()
         for p, k, i in places:
-            line = sets[k]
-            other[p] = line[(i + 1 + int(mix(np.array([s * 1009 + k], U64))[0] % U64(len(line) - 1))) % len(line)]
+            step = 1 + int(mix(np.array([s * 1009 + k], U64))[0] % U64(len(sets[k]) - 1))
+            other[p] = sets[k][(i + step) % len(sets[k])]
         out.append(other)
     return out
 
 
 def _sampled(t: Training) -> Callable:
-    """Features of labelled texts, and of their counterfactuals."""
+    """Features of labelled texts, and of their counterfactuals: +f for what the text alone has, -f for the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = identity_sets()
-        marked = np.array(sorted({h for line in sets for h in line}), U64)
+        marked = np.unique(np.concatenate([line[:, 0] for line in sets]))
         for batch in batches:
             for lo, hi, feature, sizes, words in _features(batch.column(1), t.features):
                 near = np.minimum(np.searchsorted(marked, words.hashes), len(marked) - 1)
                 has = np.unique(words.text_of[marked[near] == words.hashes])
-                swapped: list[list[list[int]]] = [[] for _ in range(hi - lo)]
+                changes: list[list[list[int]]] = [[] for _ in range(hi - lo)]
                 for r in has.tolist():
-                    own = words.hashes[words.first[r] : words.first[r + 1]]
-                    swapped[r] = [np.unique((x % U64(t.features)).astype(np.int64)).tolist() for x in counterfactuals(own, sets, t.swaps)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), ragged(feature, sizes, pa.int64()), pa.array(swapped, pa.list_(pa.list_(pa.int64())))], names=["toxic", "features", "swapped"])
+                    mine = slice(words.first[r], words.first[r + 1])
+                    every = word_features(words)[mine]
+                    own = np.unique(every[every != 0] % U64(t.features)).astype(np.int64)
+                    for x in counterfactuals(every, sets, t.swaps):
+                        new = np.unique(x[x != 0] % U64(t.features)).astype(np.int64)
+                        changes[r].append([*(np.setdiff1d(own, new) + 1).tolist(), *(-np.setdiff1d(new, own) - 1).tolist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), ragged(feature.astype(np.int32), sizes, pa.int32()), pa.array(changes, pa.list_(pa.list_(pa.int32())))], names=["toxic", "features", "changes"])
 
     return run
 
 
-def _sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Columns, row numbers and values, which are ones."""
-    sizes = np.array([len(r) for r in rows], np.int64)
-    at = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(rows) else np.zeros(0, np.int64)
-    return at, np.repeat(np.arange(len(rows)), sizes), np.ones(len(at))
+def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """Values of rows one after the other, and the number of the row of each."""
+    flat = np.concatenate([np.zeros(0, np.int64), *(np.asarray(r, np.int64) for r in rows)])
+    return flat, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
 
 
-def fit(rows: list[tuple[float, list[int], list[list[int]]]], t: Training) -> np.ndarray:
-    """Weights of the features, and the intercept last: those that minimise the mean log loss, the squares of weights, and
-    the squares of score differences between sentences and their counterfactuals. Without both labels, only the prior."""
-    y = np.array([r[0] for r in rows], float)
-    prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.0
+def telling(col: np.ndarray, positive: np.ndarray, y: np.ndarray, t: Training) -> np.ndarray:
+    """Which features are learnt: of those in `least` rows, the `chosen` whose rows' labels differ most from all rows'."""
+    df, hit = np.bincount(col, minlength=t.features), np.bincount(col, positive, t.features)
+    share = y.mean()
+    chi = (hit - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
+    chi[df < t.least] = -1
+    kept = np.zeros(t.features, bool)
+    kept[np.argsort(-chi, kind="stable")[: t.chosen]] = True
+    return kept & (df >= t.least)
+
+
+def fit(y: np.ndarray, features: list, changes: list[list], t: Training) -> np.ndarray:
+    """Weights of the features, and the intercept last: those that minimise the log loss, the squares of weights, and the
+    squares of score changes by counterfactuals. Both labels count as much in all. Without both, there is only the prior."""
+    y, n = np.asarray(y, float), len(y)
+    prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if n else 1e-3
     w = np.zeros(t.features + 1)
-    w[-1] = np.log(prior / (1 - prior)) if prior else -10.0
+    w[-1] = np.log(prior / (1 - prior))
     if len(np.unique(y)) < 2:
         return w
-    col, row, val = _sparse([r[1] for r in rows])
-    pairs = [(r[1], s) for r in rows for s in r[2]]
-    dc, dr, dv = _sparse([sorted(set(a) ^ set(b)) for a, b in pairs])
-    if len(dc):
-        dv = np.concatenate([[1.0 if x in own else -1.0 for x in sorted(own ^ other)] for own, other in ((set(a), set(b)) for a, b in pairs)] or [[]])
-    n = len(y)
+    col, row = _sparse(features)
+    kept = telling(col, y[row] > 0.5, y > 0.5, t)
+    number = np.cumsum(kept) - 1
+    n_kept = int(kept.sum())
+    col, row = number[col[kept[col]]], row[kept[col]]
+    swaps = [c for of_row in changes for c in of_row]
+    at, of = _sparse(swaps)
+    sign, at = np.sign(at).astype(float), np.abs(at) - 1
+    sign, at, of = sign[kept[at]], number[at[kept[at]]], of[kept[at]]
+    share = np.where(y > 0.5, n / (2 * (y > 0.5).sum()), n / (2 * (y <= 0.5).sum()))
 
     def cost(w: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.bincount(row, val * w[col], n) + w[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss = -(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)).sum() + t.decay * (w[:-1] ** 2).sum() / 2
-        g = np.zeros_like(w)
-        g[:-1] = np.bincount(col, val * (p - y)[row], t.features) + t.decay * w[:-1]
-        g[-1] = (p - y).sum()
-        if len(dc):
-            d = np.bincount(dr, dv * w[dc], len(pairs))
-            loss += t.swapped * (d**2).sum() / 2
-            g[:-1] += t.swapped * np.bincount(dc, dv * d[dr], t.features)
-        return loss, g
-
-    return _lbfgs(cost, w, t.rounds)
+        z = np.clip(np.bincount(row, w[col], n) + w[-1], -30, 30)
+        error = share * (1 / (1 + np.exp(-z)) - y)
+        loss = (share * (np.logaddexp(0, z) - y * z)).sum() + t.decay * (w[:-1] @ w[:-1]) / 2
+        g = np.append(np.bincount(col, error[row], n_kept) + t.decay * w[:-1], error.sum())
+        if len(swaps):
+            d = np.bincount(of, sign * w[at], len(swaps))
+            loss += t.swapped * (d @ d) / 2
+            g[:-1] += t.swapped * np.bincount(at, sign * d[of], n_kept)
+        return float(loss), g
+
+    found = _lbfgs(cost, np.append(np.zeros(n_kept), 0.0), t.rounds)
+    w[:-1][kept], w[-1] = found[:-1], found[-1]
+    return w
 
 
 def _lbfgs(cost: Callable, w: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
@@ -183,9 +225,12 @@ def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
     known = known.groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(t.sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # at most t.sample rows
-    rows = texts.select("toxic", "text").mapInArrow(_sampled(t), "toxic double, features array<long>, swapped array<array<long>>")
-    found = rows.withColumn("order", F.xxhash64("features")).orderBy("order").drop("order").limit(2 * t.sample).toArrow()
-    return fit([(r["toxic"], r["features"], r["swapped"]) for r in found.to_pylist()], t)
+    rows = texts.select("toxic", "text").mapInArrow(_sampled(t), "toxic double, features array<int>, changes array<array<int>>")
+    # An id may have several rows; so many at most are learnt from.
+    found = rows.orderBy(F.xxhash64("features"), "toxic").limit(2 * t.sample).toArrow().combine_chunks()
+    features = found["features"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
+    offsets, flat = np.asarray(features.offsets), np.asarray(features.values)
+    return fit(found["toxic"].to_numpy(), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], found["changes"].to_pylist(), t)
 
 
 def _score(weights, n: int) -> Callable:  # noqa: ANN001
@@ -215,7 +260,7 @@ def classify(docs: DataFrame, labels: DataFrame, t: Training = Training(), thres
     return scored.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.5) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
     """docs without the rows whose score reaches the threshold."""
     kept = score(docs, train(docs, labels, t)).where(F.col("score") < threshold)
     return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
