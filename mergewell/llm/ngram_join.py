@@ -11,8 +11,9 @@ The tokens are a text's distinct word shingles. Three facts make the join exact
 3. Classes that share a key are points of an R-tree whose coordinates are counts in 64 groups over the whole set. The sum
    of the smaller coordinates bounds the overlap of two points, and with a node's largest coordinates that of all in it.
 
-Pairs that survive are verified on the full sets. A key's classes are first tried against its smallest one; later only
-those that aren't joined already are compared, in blocks of bounded size, so a key that many share doesn't emit its pairs.
+Pairs that survive are verified on the full sets. A key's classes are first tried against its smallest one. Then only classes
+of different components are compared, in blocks of bounded size: first the nearest pair of each two components, which joins
+most of those that belong together, and at last all that are left. So a key that many share doesn't emit its pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from .textvec import NOT_SPACE, U64, Words, distinct_by_text, mix, pieces, ragge
 GROUPS, INNER = 64, 256
 #: A key's classes are compared in blocks of about so many.
 BLOCK = 2048
+#: Rounds that try the nearest pair of every two components, before all pairs that are left.
+NEAREST = 2
 #: Up to so many ids (8 bytes each) may be broadcast.
 MOST_BROADCAST = 4_000_000
 
@@ -205,20 +208,27 @@ def _bounded(m: Measure) -> Callable:
 
 
 class CountTree:
-    """A packed R-tree over count vectors. Every node has its largest coordinates and its smallest and largest size."""
+    """A packed R-tree over count vectors. Nodes have their largest coordinates, and the ranges of sizes and components.
 
-    def __init__(self, points: np.ndarray, fan: int = 8):
-        self.order = self._pack(points, np.arange(len(points)), fan)
-        self.points = points[self.order].astype(np.int32)
+    Points of one component lie together, so that pairs within it, which needn't be looked at, are left out as whole nodes.
+    """
+
+    def __init__(self, points: np.ndarray, comp: np.ndarray, fan: int = 8):
+        of = np.unique(comp, return_inverse=True)[1]
+        large = np.bincount(of, minlength=1) >= 4 * fan
+        groups = [np.flatnonzero(of == c) for c in np.flatnonzero(large)] + [np.flatnonzero(~large[of])]
+        self.order = np.concatenate([x for at in groups if len(at) for x in self._pack(points, at, fan)]) if len(points) else np.zeros(0, np.int64)
+        self.points, self.comp = points[self.order].astype(np.int32), comp[self.order]
         size = self.points.sum(1)
-        self.levels, self.fan = [(self.points, size, size)], fan
+        self.levels, self.fan = [(self.points, size, size, self.comp, self.comp)], fan
         while len(self.levels[-1][0]) > fan:
-            high, least, most = self.levels[-1]
-            at = np.arange(0, len(high), fan)
-            self.levels.append((np.maximum.reduceat(high, at), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)))
+            at = np.arange(0, len(self.levels[-1][0]), fan)
+            high, *ranges = self.levels[-1]
+            ends = [f.reduceat(x, at) for f, x in zip((np.minimum, np.maximum, np.minimum, np.maximum), ranges, strict=True)]
+            self.levels.append((np.maximum.reduceat(high, at), *ends))
 
     @staticmethod
-    def _pack(points: np.ndarray, at: np.ndarray, fan: int) -> np.ndarray:
+    def _pack(points: np.ndarray, at: np.ndarray, fan: int) -> list[np.ndarray]:
         """Tile by size first, then halve along the coordinate that varies most."""
         out, todo = [], [at]
         while todo:
@@ -226,23 +236,23 @@ class CountTree:
             if len(part) <= fan:
                 out.append(part)
                 continue
-            size = points[part].sum(1)
-            value = size if len(part) > 64 * fan else points[part][:, int(points[part].var(0).argmax())]
+            value = points[part].sum(1) if len(part) > 64 * fan else points[part][:, int(points[part].var(0).argmax())]
             part = part[np.argsort(value, kind="stable")]
             half = (len(part) // 2 + fan - 1) // fan * fan
             todo += [part[half:], part[:half]]
-        return np.concatenate(out) if out else at
+        return out
 
     def join(self, other: CountTree, m: Measure, step: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes of the points, here and there, that may be linked."""
+        """Indexes of the points, here and there, that are of different components and may be linked."""
         depth = max(len(self.levels), len(other.levels)) - 1
         i, j = (x.ravel() for x in np.meshgrid(*(np.arange(len(t.levels[-1][0])) for t in (self, other)), indexing="ij"))
         for level in range(depth, -1, -1):
-            (ha, la, ma), (hb, lb, mb) = (t.levels[min(level, len(t.levels) - 1)] for t in (self, other))
+            (ha, la, ma, ca, da), (hb, lb, mb, cb, db) = (t.levels[min(level, len(t.levels) - 1)] for t in (self, other))
             found = [(i[:0], j[:0])]
             for s in range(0, len(i), step):
                 x, y = i[s : s + step], j[s : s + step]
                 near = (ma[x] * m.den >= lb[y] * m.num) & (mb[y] * m.den >= la[x] * m.num)
+                near &= (ca[x] != da[x]) | (cb[y] != db[y]) | (ca[x] != cb[y])
                 x, y = x[near], y[near]
                 ok = np.minimum(ha[x], hb[y]).sum(1) >= m.needed(la[x], lb[y])
                 found.append((x[ok], y[ok]))
@@ -265,21 +275,64 @@ class CountTree:
         return np.broadcast_to(a[:, :, None], good.shape)[good], np.broadcast_to(b[:, None, :], good.shape)[good]
 
 
-def _across(m: Measure) -> Callable:
-    """Within a key's block, or between two: pairs of classes of different components that the tree can't rule out."""
+def _inside(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows i < j of small groups."""
+    at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    rows = np.repeat(starts + sizes, sizes) - at - 1
+    i = np.repeat(at, rows)
+    return i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(rows) - rows, rows)
+
+
+def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
+    """Rows sorted by key and block pair in. Out: pairs of classes of different components that no bound rules out.
+
+    Groups of a leaf's size need no tree. nearest: of each two components, only the pair with most overlap to spare."""
+
+    def pairs(cid: np.ndarray, comp: np.ndarray, block: np.ndarray, low: np.ndarray, high: np.ndarray, points: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        sizes = np.diff(starts)
+        small = sizes <= leaf
+        i, j = _inside(starts[:-1][small], sizes[small])
+        ok = (comp[i] != comp[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+        i, j = i[ok], j[ok]
+        total = points.sum(1)
+        ok = np.concatenate([np.zeros(0, bool), *(np.minimum(points[i[s : s + 100_000]], points[j[s : s + 100_000]]).sum(1) >= m.needed(total[i[s : s + 100_000]], total[j[s : s + 100_000]]) for s in range(0, len(i), 100_000))])
+        found = [(i[ok], j[ok])]
+        for g in np.flatnonzero(~small):
+            own = np.arange(starts[g], starts[g + 1])
+            a, b = own[block[own] == low[own]], own[block[own] == high[own]]
+            one = CountTree(points[a], comp[a])
+            x, y = one.join(one if low[own[0]] == high[own[0]] else CountTree(points[b], comp[b]), m)
+            found.append((a[x], b[y]))
+        i, j = (np.concatenate(z) for z in zip(*found, strict=True))
+        swap = comp[i] > comp[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        if nearest and len(i):
+            spare = np.concatenate([np.minimum(points[i[s : s + 100_000]], points[j[s : s + 100_000]]).sum(1) - m.needed(total[i[s : s + 100_000]], total[j[s : s + 100_000]]) for s in range(0, len(i), 100_000)])
+            order = np.lexsort((-spare, comp[j], comp[i]))
+            i, j = i[order], j[order]
+            first = np.concatenate([[True], (comp[i][1:] != comp[i][:-1]) | (comp[j][1:] != comp[j][:-1])])
+            i, j = i[first], j[first]
+        both = np.unique(np.stack([np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
-    def run(group: pa.Table) -> pa.Table:
-        cid, comp, block = (np.asarray(group.column(c).combine_chunks()) for c in ("cid", "comp", "block"))
-        points = _points(group.column("point").combine_chunks())
-        here = block == int(group.column("low")[0].as_py())
-        there = block == int(group.column("high")[0].as_py())
-        a, b = np.flatnonzero(here), np.flatnonzero(there)
-        i, j = CountTree(points[a]).join(CountTree(points[b]), m)
-        i, j = a[i], b[j]
-        ok = comp[i] != comp[j]
-        one, two = cid[i[ok]], cid[j[ok]]
-        pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], 1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # the rows of the last group, which may go on
+        for batch in batches:
+            columns = [np.asarray(batch.column(c)) for c in ("key", "low", "high", "block", "cid", "comp")] + [_points(batch.column("point"))]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            key, low, high = columns[:3]
+            if not len(key):
+                continue
+            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+            held = [x[new[-1] :].copy() for x in columns]
+            done = [x[: new[-1]] for x in columns]
+            if new[-1]:
+                _, low, high, block, cid, comp, points = done
+                yield pairs(cid, comp, block, low, high, points, new)
+        if held is not None:
+            _, low, high, block, cid, comp, points = held
+            yield pairs(cid, comp, block, low, high, points, np.array([0, len(cid)]))
 
     return run
 
@@ -295,12 +348,61 @@ def _token_sets(m: Measure) -> Callable:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, m: Measure) -> DataFrame:
-    """The pairs whose sets are linked, by their exact overlap."""
+    """The distinct pairs whose sets are linked, by their exact overlap."""
     left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
     both = left.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
     overlap = F.size(F.array_intersect("ta", "tb"))
     both = both.select("a", "b", overlap.alias("common"), (F.size("ta") + F.size("tb")).alias("total"))
-    return both.where(F.col("common") * m.den >= (F.col("total") - F.col("common")) * m.num).select("a", "b")
+    return both.where(F.col("common") * m.den >= (F.col("total") - F.col("common")) * m.num).select("a", "b").distinct()
+
+
+class _Join:
+    """The tables of one join, and its steps."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, m: Measure, store: Store):
+        self.docs, self.classes, self.m, self.store = docs, classes, m, store
+
+    def find_shared(self) -> None:
+        keys = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_keys(self.m), "key long, cid long")
+        keys = keys.repartition("key").sortWithinPartitions("key", "cid")
+        self.shared = self.store.write(keys.mapInArrow(_shared, "key long, cid long, lead long"), "shared")
+
+    def stars(self) -> DataFrame:
+        """Each key's smallest class with the others."""
+        pairs = self.shared.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
+        points = self.classes.select("cid", "point")
+        pairs = pairs.join(points.select(F.col("cid").alias("a"), F.col("point").alias("pa")), "a")
+        pairs = pairs.join(points.select(F.col("cid").alias("b"), F.col("point").alias("pb")), "b")
+        return pairs.select("a", "b", "pa", "pb").mapInArrow(_bounded(self.m), "a long, b long")
+
+    def across(self, roots: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs of different components that share a key and that the tree can't rule out."""
+        comp = self.shared.select("key", "cid").join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
+        comp = comp.select("key", "cid", F.coalesce("root", "cid").alias("comp"))
+        several = comp.groupBy("key").agg(F.min("comp").alias("one"), F.max("comp").alias("two"), F.count("*").alias("members")).where("one <> two")
+        left = comp.join(several.select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")), "key")
+        left = left.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+        left = left.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        left = left.select("key", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"), "block", "cid", "comp")
+        left = left.join(self.classes.select("cid", "point"), "cid").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        return left.mapInArrow(_across(self.m, nearest), "a long, b long").distinct()
+
+    def verify(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The links among pairs. Only the texts that are in them are taken apart again."""
+        pairs = self.store.write(pairs, f"pairs_{name}")
+        members = self.store.write(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), f"members_{name}")
+        wanted = members.join(self.classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct()
+        few = members.count() <= MOST_BROADCAST
+        chosen = self.docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+        sets = chosen.select("text").mapInArrow(_token_sets(self.m), "cid long, tokens array<long>")
+        sets = self.store.write(sets.join(F.broadcast(members) if few else members, "cid", "left_semi"), f"sets_{name}")
+        links = self.store.write(_verified(pairs, sets, self.m), f"links_{name}")
+        self.store.drop(f"pairs_{name}", f"members_{name}", f"sets_{name}")
+        return links
+
+    def join(self, roots: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+        return components(edges, self.store, name)
 
 
 def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -320,44 +422,20 @@ def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_co
     if classes.groupBy("cid").count().where("count > 1").limit(1).count():
         store.drop("profile", "classes")  # two sets share their first 64 bits: hash anew
         return near_duplicates(docs, Measure(m.width, m.num, m.den, m.seed + 1))
-    keys = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_keys(m), "key long, cid long")
-    keys = keys.repartition("key").sortWithinPartitions("key", "cid")
-    shared = store.write(keys.mapInArrow(_shared, "key long, cid long, lead long"), "shared")
-    points = classes.select("cid", "point")
-
-    def with_points(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.join(points.select(F.col("cid").alias("a"), F.col("point").alias("pa")), "a")
-        return pairs.join(points.select(F.col("cid").alias("b"), F.col("point").alias("pb")), "b").select("a", "b", "pa", "pb")
-
-    star = shared.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-    star = store.write(with_points(star).mapInArrow(_bounded(m), "a long, b long"), "star")
-
-    members = store.write(shared.select("cid").distinct(), "members")
-    wanted = members.join(classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct()
-    few = members.count() <= MOST_BROADCAST
-    chosen = docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    sets = chosen.select("text").mapInArrow(_token_sets(m), "cid long, tokens array<long>")
-    sets = sets.join(F.broadcast(members) if few else members, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens"))
-    sets = store.write(sets, "sets")
-
-    links = store.write(_verified(star, sets, m), "links")
-    first = components(links, store, "first")
-
-    comp = shared.select("key", "cid").join(first.select(F.col("node").alias("cid"), "root"), "cid", "left")
-    comp = comp.select("key", "cid", F.coalesce("root", "cid").alias("comp"))
-    open_keys = comp.groupBy("key").agg(F.min("comp").alias("one"), F.max("comp").alias("two"), F.count("*").alias("members")).where("one <> two")
-    left = comp.join(open_keys.select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")), "key")
-    left = left.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    left = left.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    left = left.select("key", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"), "block", "cid", "comp")
-    rest = left.join(points, "cid").groupBy("key", "low", "high").applyInArrow(_across(m), "a long, b long").distinct()
-    rest = store.write(rest, "rest")
-    more = store.write(_verified(rest, sets, m), "more")
+    work = _Join(docs, classes, m, store)
+    work.find_shared()
+    links = work.verify(work.stars(), "star")
+    roots = components(links, store, "star")
+    for k in range(NEAREST):
+        links = work.verify(work.across(roots, nearest=True), f"near_{k}")
+        if not links.limit(1).count():
+            break
+        roots = work.join(roots, links, f"near_{k}")
+    links = work.verify(work.across(roots, nearest=False), "rest")
     one_id = known.select("doc_id", "cid").distinct()
     again = one_id.groupBy("doc_id").agg(F.min("cid").alias("a"), F.count("*").alias("texts")).where("texts > 1")
     again = one_id.join(again, "doc_id").where("cid <> a").select("a", F.col("cid").alias("b"))
-    joined = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).unionByName(again)
-    by_class = store.write(components(joined, store, "last"), "by_class")
+    by_class = work.join(roots, links.unionByName(again), "last")
 
     grouped = classes.select("cid", "cid2", "rep").join(by_class.select(F.col("node").alias("cid"), "root"), "cid", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "cid"))
@@ -366,7 +444,7 @@ def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_co
     rows = profile.select("doc_id", "n", "cid", "cid2").join(named, ["cid", "cid2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     result = store.write(rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")), "result")
-    store.drop("profile", "classes", "shared", "star", "members", "sets", "links", "rest", "more", "by_class")
+    store.drop("profile", "classes", "shared")
     return result
 
 

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from mergewell.llm.ngram_join import CountTree, Measure, _sets, near_duplicates, signatures
+from mergewell.llm.ngram_join import CountTree, Measure, _inside, _sets, near_duplicates, signatures
 
 
 def shingles(text, width):
@@ -107,9 +107,15 @@ def test_tree_keeps_what_the_bound_keeps(n):
     r, m = np.random.default_rng(n), Measure(3, 70, 100)
     a, b = r.integers(0, 5, (n, 64)), r.integers(0, 5, (max(1, n // 9), 64))
     b[: len(b) // 2] = a[: len(b) // 2]
-    i, j = CountTree(a).join(CountTree(b), m)
+    comp_a, comp_b = r.integers(0, 3, len(a)), r.integers(0, 3, len(b))
+    i, j = CountTree(a, comp_a).join(CountTree(b, comp_b), m)
     best = np.minimum(a[:, None], b[None]).sum(2)
     sizes_a, sizes_b = a.sum(1)[:, None], b.sum(1)[None]
-    near = (sizes_a * m.den >= sizes_b * m.num) & (sizes_b * m.den >= sizes_a * m.num)
+    near = (sizes_a * m.den >= sizes_b * m.num) & (sizes_b * m.den >= sizes_a * m.num) & (comp_a[:, None] != comp_b[None])
     want = {tuple(x) for x in np.argwhere(near & (best >= m.needed(sizes_a, sizes_b)))}
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and len(i) == len(want)
+
+
+def test_pairs_of_small_groups():
+    i, j = _inside(np.array([0, 5, 6]), np.array([3, 1, 4]))
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 2), (6, 7), (6, 8), (6, 9), (7, 8), (7, 9), (8, 9)]
