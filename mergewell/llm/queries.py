@@ -111,6 +111,15 @@ SQL: dict[str, str] = {
         m AS (SELECT page_id, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h) DESC, length(p) DESC) AS k
               FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
         SELECT u.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m ON m.page_id = u.page_id AND k = 1""",
+    "op6_ngram_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS gram
+              FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT x, b FROM reach JOIN link ON y = a)
+        SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x""",
     "op7_chat_parts": f"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))

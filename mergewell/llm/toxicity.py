@@ -42,13 +42,15 @@ BEGINNINGS = (4, 6)
 @dataclass(frozen=True)
 class Training:
     """sample: the most labelled rows that are learnt from, those first by a hash of their id. features: hashed features.
-    least: rows of the sample that a feature must be in. chosen: features that are learnt. decay: the weight of squared weights. swapped: that of score
-    changes under swaps. swaps: counterfactuals of a text."""
+    rows_each: a feature is learnt for each so many rows. least: rows that a learnt feature is in, and no fewer than one in
+    `rare`. decay: the weight of squared weights. swapped: that of score changes under swaps. swaps: counterfactuals of a
+    text."""
 
     sample: int = 12_000
-    least: int = 10
-    chosen: int = 3_000
     features: int = 1 << 18
+    rows_each: int = 4
+    least: int = 3
+    rare: int = 1_200
     decay: float = 0.3
     swapped: float = 1.0
     swaps: int = 3
@@ -135,14 +137,13 @@ def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def telling(col: np.ndarray, positive: np.ndarray, y: np.ndarray, t: Training) -> np.ndarray:
-    """Which features are learnt: of those in `least` rows, the `chosen` whose rows' labels differ most from all rows'."""
+    """Which features are learnt: those whose rows' labels differ most from all rows'."""
     df, hit = np.bincount(col, minlength=t.features), np.bincount(col, positive, t.features)
-    share = y.mean()
-    chi = (hit - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9)
-    chi[df < t.least] = -1
+    share, enough = y.mean(), df >= max(t.least, len(y) // t.rare)
+    chi = np.where(enough, (hit - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9), -1)
     kept = np.zeros(t.features, bool)
-    kept[np.argsort(-chi, kind="stable")[: t.chosen]] = True
-    return kept & (df >= t.least)
+    kept[np.argsort(-chi, kind="stable")[: max(20, len(y) // t.rows_each)]] = True
+    return kept & enough
 
 
 def fit(y: np.ndarray, features: list, changes: list[list], t: Training) -> np.ndarray:
