@@ -1,5 +1,6 @@
 import json
 
+from mergewell.__main__ import main
 from mergewell.plans import lookup, model, pipeline
 from mergewell.sources import entities, links, sample
 from mergewell.streaming.lookup import match_names, stream_lookup
