@@ -24,7 +24,7 @@ class Targets:
     """temper: a margin's target shares are its token shares to this power, unless shares has them, by value. Values that
     shares leaves out get nothing. rounds and close: when raking ends."""
 
-    temper: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 0.8})
+    temper: dict[str, float] = field(default_factory=lambda: {"source": 0.85, "lang": 0.9, "topic": 0.9})
     shares: dict[str, dict[str, float]] = field(default_factory=dict)
     rounds: int = 100
     close: float = 1e-9
