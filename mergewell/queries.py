@@ -50,8 +50,7 @@ def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("address"),
         F.col("p_type").alias("city"), F.col("p_brand").alias("zip"), F.concat(F.lit("s"), (F.col("p_partkey") % 3 + 1).cast("string")).alias("tag"),
     )
-    frames = [entities.standardize(rows.where(F.col("tag") == t).drop("tag"), t) for t in ("s1", "s2", "s3")]
-    return entities.union_targets(entities.union_targets(frames[0], frames[1]), frames[2])
+    return entities.standardize(rows, rows["tag"])
 
 
 def part_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -136,7 +135,9 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'p' || p_partkey AS id, p_name AS name, p_type AS address, p_type AS city, '' AS state, p_brand AS zip, '' AS country, '' AS phone, '' AS category, 's' || (p_partkey % 3 + 1) AS source_tag FROM part")
 def union_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part_entities(spark, sf_dir)
+    found = part_entities(spark, sf_dir)
+    one, two, three = (found.where(F.col("source_tag") == f"s{k}") for k in (1, 2, 3))
+    return entities.union_targets(entities.union_targets(one, two), three)
 
 
 # Normalisation.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,14 +36,15 @@ def resolve(columns: list[str]) -> dict[str, str | None]:
     return found
 
 
-def standardize(df: DataFrame, tag: str) -> DataFrame:
-    """The ten standard columns; those that the source lacks are empty, others of its columns are left out."""
+def standardize(df: DataFrame, tag: str | Column) -> DataFrame:
+    """The ten standard columns; those that the source lacks are empty, others of its columns are left out. tag: the source's,
+    or a column that has each row's."""
     found = resolve(df.columns)
     out = []
     for k, c in found.items():
         value = stripped(df[f"`{c}`"]) if c is not None else F.lit("")
         out.append((value if k == "id" else F.when(value.isin(NULL_TOKENS), F.lit("")).otherwise(value)).alias(k))
-    return df.select(*out, F.lit(tag).alias("source_tag"))
+    return df.select(*out, (F.lit(tag) if isinstance(tag, str) else tag).alias("source_tag"))
 
 
 def _header(spark: SparkSession, path: str, encoding: str, sep: str) -> list[str]:
