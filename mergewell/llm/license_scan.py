@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import ALNUM, U64, Words, pieces
+from .store import bounded_batches
+from .textvec import ALNUM, U64, Words, pieces, released
 
 #: Phrases that are always looked for, and their labels.
 PHRASES = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved")]
@@ -167,6 +168,7 @@ def scan_licenses(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, tem
     score is the share of words that phrases and templates cover. Null and empty texts have no words and a score of 0.
     Other columns are not looked at.
     """
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(_scan(list(phrases), list(templates)), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return narrow.mapInArrow(released(_scan(list(phrases), list(templates))), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")

@@ -8,6 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Arrow batches of texts have about so many bytes at most.
+BATCH_BYTES = 4 << 20
+_BYTES, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bytes of an Arrow batch, unless it has set them itself.
+
+    The default is held by each task's JVM buffer and by each of its Python workers, too much for small executors."""
+    if int(str(spark.conf.get(_BYTES, str(_DEFAULT))).rstrip("b")) == _DEFAULT:
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
+
+
 class Store:
     """A folder of tables under spark.checkpoint.dir, which driver and executors share.
 
@@ -16,6 +29,7 @@ class Store:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import Store
-from .textvec import ALNUM, Words, pieces
+from .store import Store, bounded_batches
+from .textvec import ALNUM, Words, pieces, released
 
 #: Items are taken in blocks of about so many bytes of text; each block has an automaton of its own, which is broadcast.
 BLOCK_BYTES = 16 << 20
@@ -214,6 +214,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col
     texts; a null item id is the item "". Names of other columns don't matter: they stay inside row.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // BLOCK_BYTES) + 1
@@ -224,7 +225,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         automaton = spark.sparkContext.broadcast(SuffixAutomaton([(r.item_id, word_hashes(r.text)) for r in mine], window))
-        out = out.mapInArrow(_scan(automaton, 1, 2 if b else None), f"row {row}, text string, found struct<{FOUND.replace(' ', ':').replace(',:', ',')}>")
+        out = out.mapInArrow(released(_scan(automaton, 1, 2 if b else None)), f"row {row}, text string, found struct<{FOUND.replace(' ', ':').replace(',:', ',')}>")
         if store and b % 4 == 3:
             out = store.write(out, f"to_{b}")
     return out.select("row", "found")
@@ -262,7 +263,7 @@ def remove_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, longes
     long = F.filter(pairs, lambda s: s.b - s.a > longest)
     cuts = F.flatten(F.transform(long, lambda s: F.array(F.get("found.cuts", s.i), F.get("found.cuts", s.i + 1))))
     row = kept.schema["row"].dataType.simpleString()
-    cut = kept.select("row", F.col("row.text").alias("text"), cuts.alias("cuts")).mapInArrow(_without, f"row {row}, text string")
+    cut = kept.select("row", F.col("row.text").alias("text"), cuts.alias("cuts")).mapInArrow(released(_without), f"row {row}, text string")
     own = {c: F.col(f"row.`{c}`") for c in docs.columns}
     own["text"] = F.col("text")
     if "n_chars" in own:

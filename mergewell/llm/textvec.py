@@ -6,7 +6,8 @@ loop over words. All word definitions used here treat every byte from 0x80 up al
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(column: pa.Array, most_bytes: int = 2 << 20, most_rows: int = 1024) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, most_bytes: int = 1 << 20, most_rows: int = 1024) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows lo to hi, their bytes and offsets, in pieces of bounded size. A longer text is a piece of its own."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
@@ -156,3 +157,18 @@ def ragged(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     """A list column of values, counts to a row."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the Python worker, which goes on to live, gives back the memory that it no longer uses."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return wrapped

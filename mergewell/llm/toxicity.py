@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import ALNUM, U64, Words, distinct_by_text, mix, pieces, ragged
+from .store import bounded_batches
+from .textvec import ALNUM, U64, Words, distinct_by_text, mix, pieces, ragged, released
 
 #: Identity terms; those of one line stand for each other.
 IDENTITIES = [
@@ -132,8 +133,8 @@ def _sampled(t: Training) -> Callable:
 
 def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray]:
     """Values of rows one after the other, and the number of the row of each."""
-    flat = np.concatenate([np.zeros(0, np.int64), *(np.asarray(r, np.int64) for r in rows)])
-    return flat, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(r, np.int32) for r in rows)])
+    return flat, np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
 
 
 def telling(col: np.ndarray, positive: np.ndarray, y: np.ndarray, t: Training) -> np.ndarray:
@@ -222,11 +223,12 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
     """Weights from labelled rows that aren't held out. Repeated labels of an id count as their mean; null ones as none."""
+    bounded_batches(docs.sparkSession)
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(t.sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # at most t.sample rows
-    rows = texts.select("toxic", "text").mapInArrow(_sampled(t), "toxic double, features array<int>, changes array<array<int>>")
+    rows = texts.select("toxic", "text").mapInArrow(released(_sampled(t)), "toxic double, features array<int>, changes array<array<int>>")
     # An id may have several rows; so many at most are learnt from.
     found = rows.orderBy(F.xxhash64("features"), "toxic").limit(2 * t.sample).toArrow().combine_chunks()
     features = found["features"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
@@ -249,10 +251,11 @@ def _score(weights, n: int) -> Callable:  # noqa: ANN001
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
     """(row, score): every row of docs as it came, and the chance from 0 to 1 that label 1 fits its text."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_score(shared, len(weights) - 1), f"row {kind}, score double")
+    return rows.mapInArrow(released(_score(shared, len(weights) - 1)), f"row {kind}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import Store
+from .textvec import released
 
 #: What every record begins with, and how lines and blocks end.
 MAGIC, LINE = b"WARC/1.1\r\n", "\r\n"
@@ -154,7 +155,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     segments = spark.read.schema("value string").option("lineSep", MAGIC.decode()).text(path)
     segments = segments.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("segment"))
     found = segments.select("*", F.octet_length("segment").alias("size"))
-    sized = found.select("file", "block", "segment").mapInArrow(_candidates, CANDIDATE)
+    sized = found.select("file", "block", "segment").mapInArrow(released(_candidates), CANDIDATE)
     sized = store.write(sized, "candidates")
     # A block's bytes come to the last candidate's place and size; places in a file follow by adding up its blocks.
     totals = found.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("total"))
