@@ -8,8 +8,9 @@ The tokens are a text's distinct word shingles. Three facts make the join exact
    counts, hashed, are a key that linked classes share. Sizes fall into bands, and runs are as many as the band's
    largest size asks for; a class also takes part in the band above if a partner may be there. Runs may be empty in both
    sets. Some runs beyond d + 1 are taken, and a class with more empty runs than that uses its empty runs as keys too.
-3. Classes that share a key are points of an R-tree whose coordinates are counts in 64 groups over the whole set. The sum
-   of the smaller coordinates bounds the overlap of two points, and with a node's largest coordinates that of all in it.
+3. Classes that share a key are points of an R-tree whose coordinates are counts in groups over the whole set: the more the
+   larger it is, as the bound gets weaker with tokens to a group; groups add up to fewer where sizes differ. The sum of the
+   smaller coordinates bounds the overlap of two points, and with a node's largest coordinates that of all in it.
 
 Pairs that survive are verified on the full sets. A key's classes are first tried against its smallest one. Then only classes
 of different components are compared, in blocks of bounded size: first the nearest pair of each two components, which joins
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import Store
-from .textvec import NOT_SPACE, U64, Words, distinct_by_text, mix, pieces, ragged, shingle_hashes
+from .textvec import NOT_SPACE, U64, Words, distinct_by_text, mix, pieces, ragged, released, shingle_hashes
 
-#: Coordinates of a point, and groups inside a run.
-GROUPS, INNER = 64, 256
+#: Groups inside a run.
+INNER = 256
 #: A key's classes are compared in blocks of about so many.
 BLOCK = 2048
 #: Rounds that try the nearest pair of every two components, before all pairs that are left.
@@ -87,14 +88,33 @@ def class_ids(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> tuple[np.ndar
     return mix(one + sizes.astype(U64)).view(np.int64), mix(two ^ (sizes.astype(U64) << U64(32))).view(np.int64)
 
 
+def groups_of(sizes: np.ndarray) -> np.ndarray:
+    """Coordinates of sets of these sizes: 64, four times as many beyond 512 tokens, and so on."""
+    more = np.ceil(np.log2(np.maximum(sizes, 512) / 512) / 3).astype(np.int64)
+    return 64 * 4 ** np.minimum(more, 4)
+
+
+def points_matrix(points: list[bytes], groups: int) -> np.ndarray:
+    """Points with so many coordinates; those of more are added up."""
+    out = np.zeros((len(points), groups), np.int32)
+    lengths = np.array([len(x) // 2 for x in points], np.int64)
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        rows = np.frombuffer(b"".join([points[i] for i in at.tolist()]), "<u2").reshape(len(at), n // groups, groups)
+        out[at] = rows.sum(1)
+    return out
+
+
 def _profile(m: Measure) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, tokens, of, sizes in _sets(batch.column(1), m):
                 one, two = class_ids(tokens, sizes, m.seed)
-                group = (mix(tokens + U64(77)) % U64(GROUPS)).astype(np.int64)
-                counts = np.bincount(of * GROUPS + group, minlength=(hi - lo) * GROUPS).astype("<i4").reshape(hi - lo, GROUPS)
-                points = pa.array([x.tobytes() for x in counts], pa.binary())
+                groups = groups_of(sizes)
+                place = np.cumsum(groups) - groups
+                at = place[of] + (mix(tokens + U64(77)) % groups[of].astype(U64)).astype(np.int64)
+                counts = np.bincount(at, minlength=int(groups.sum())).astype("<u2")
+                points = pa.array([counts[a : a + n].tobytes() for a, n in zip(place.tolist(), groups.tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(one), pa.array(two), points], names=["doc_id", "n", "cid", "cid2", "point"])
 
     return run
@@ -190,18 +210,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "cid", "lead"])
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, GROUPS)
-
-
 def _bounded(m: Measure) -> Callable:
     """Keeps the pairs whose summed minima reach the overlap that their sizes need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                a, b = (_points(batch.column(i)) for i in (2, 3))
-                ok = np.minimum(a, b).sum(1) >= m.needed(a.sum(1), b.sum(1))
+            a, b = (batch.column(i).to_pylist() for i in (2, 3))
+            groups = np.array([min(len(x), len(y)) // 2 for x, y in zip(a, b, strict=True)], np.int64)
+            ok = np.zeros(len(groups), bool)
+            for n in np.unique(groups).tolist():
+                at = np.flatnonzero(groups == n)
+                for s in range(0, len(at), 1 + 4_000_000 // n):
+                    part = at[s : s + 1 + 4_000_000 // n]
+                    x, y = (points_matrix([z[i] for i in part.tolist()], n) for z in (a, b))
+                    ok[part] = np.minimum(x, y).sum(1) >= m.needed(x.sum(1), y.sum(1))
+            if len(groups):
                 yield pa.RecordBatch.from_arrays([x.filter(pa.array(ok)) for x in batch.columns[:2]], names=["a", "b"])
 
     return run
@@ -242,9 +265,9 @@ class CountTree:
             todo += [part[half:], part[:half]]
         return out
 
-    def join(self, other: CountTree, m: Measure, step: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    def join(self, other: CountTree, m: Measure) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the points, here and there, that are of different components and may be linked."""
-        depth = max(len(self.levels), len(other.levels)) - 1
+        depth, step = max(len(self.levels), len(other.levels)) - 1, 1 + 6_000_000 // self.points.shape[1]
         i, j = (x.ravel() for x in np.meshgrid(*(np.arange(len(t.levels[-1][0])) for t in (self, other)), indexing="ij"))
         for level in range(depth, -1, -1):
             (ha, la, ma, ca, da), (hb, lb, mb, cb, db) = (t.levels[min(level, len(t.levels) - 1)] for t in (self, other))
@@ -288,6 +311,10 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
 
     Groups of a leaf's size need no tree. nearest: of each two components, only the pair with most overlap to spare."""
 
+    def overlaps(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        step = 1 + 6_000_000 // points.shape[1]
+        return np.concatenate([np.zeros(0, np.int64), *(np.minimum(points[i[s : s + step]], points[j[s : s + step]]).sum(1) for s in range(0, len(i), step))])
+
     def pairs(cid: np.ndarray, comp: np.ndarray, block: np.ndarray, low: np.ndarray, high: np.ndarray, points: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
         sizes = np.diff(starts)
         small = sizes <= leaf
@@ -295,7 +322,7 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
         ok = (comp[i] != comp[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
         i, j = i[ok], j[ok]
         total = points.sum(1)
-        ok = np.concatenate([np.zeros(0, bool), *(np.minimum(points[i[s : s + 100_000]], points[j[s : s + 100_000]]).sum(1) >= m.needed(total[i[s : s + 100_000]], total[j[s : s + 100_000]]) for s in range(0, len(i), 100_000))])
+        ok = overlaps(points, i, j) >= m.needed(total[i], total[j])
         found = [(i[ok], j[ok])]
         for g in np.flatnonzero(~small):
             own = np.arange(starts[g], starts[g + 1])
@@ -307,7 +334,7 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
         swap = comp[i] > comp[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         if nearest and len(i):
-            spare = np.concatenate([np.minimum(points[i[s : s + 100_000]], points[j[s : s + 100_000]]).sum(1) - m.needed(total[i[s : s + 100_000]], total[j[s : s + 100_000]]) for s in range(0, len(i), 100_000)])
+            spare = overlaps(points, i, j) - m.needed(total[i], total[j])
             order = np.lexsort((-spare, comp[j], comp[i]))
             i, j = i[order], j[order]
             first = np.concatenate([[True], (comp[i][1:] != comp[i][:-1]) | (comp[j][1:] != comp[j][:-1])])
@@ -315,24 +342,34 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
         both = np.unique(np.stack([np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])], 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
+    def by_size(columns: list[np.ndarray], points: list[bytes], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Groups of rows with as many coordinates as their row with the fewest, all with as many at once."""
+        _, low, high, block, cid, comp = columns
+        fewest = np.minimum.reduceat(np.array([len(x) // 2 for x in points], np.int64), starts[:-1])
+        for n in np.unique(fewest).tolist():
+            chosen = fewest == n
+            sizes = np.diff(starts)[chosen]
+            rows = np.flatnonzero(np.repeat(chosen, np.diff(starts)))
+            matrix = points_matrix([points[i] for i in rows.tolist()], n)
+            yield pairs(cid[rows], comp[rows], block[rows], low[rows], high[rows], matrix, np.concatenate([[0], np.cumsum(sizes)]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # the rows of the last group, which may go on
+        held: list[np.ndarray] = []  # the rows of the last group, which may go on
+        held_points: list[bytes] = []
         for batch in batches:
-            columns = [np.asarray(batch.column(c)) for c in ("key", "low", "high", "block", "cid", "comp")] + [_points(batch.column("point"))]
-            if held is not None:
+            columns = [np.asarray(batch.column(c)) for c in ("key", "low", "high", "block", "cid", "comp")]
+            points = held_points + batch.column("point").to_pylist()
+            if held:
                 columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
             key, low, high = columns[:3]
             if not len(key):
                 continue
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-            held = [x[new[-1] :].copy() for x in columns]
-            done = [x[: new[-1]] for x in columns]
             if new[-1]:
-                _, low, high, block, cid, comp, points = done
-                yield pairs(cid, comp, block, low, high, points, new)
-        if held is not None:
-            _, low, high, block, cid, comp, points = held
-            yield pairs(cid, comp, block, low, high, points, np.array([0, len(cid)]))
+                yield from by_size([x[: new[-1]] for x in columns], points[: new[-1]], new)
+            held, held_points = [x[new[-1] :].copy() for x in columns], points[new[-1] :]
+        if held:
+            yield from by_size(held, held_points, np.array([0, len(held_points)]))
 
     return run
 
@@ -363,9 +400,9 @@ class _Join:
         self.docs, self.classes, self.m, self.store = docs, classes, m, store
 
     def find_shared(self) -> None:
-        keys = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_keys(self.m), "key long, cid long")
+        keys = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(released(_keys(self.m)), "key long, cid long")
         keys = keys.repartition("key").sortWithinPartitions("key", "cid")
-        self.shared = self.store.write(keys.mapInArrow(_shared, "key long, cid long, lead long"), "shared")
+        self.shared = self.store.write(keys.mapInArrow(released(_shared), "key long, cid long, lead long"), "shared")
 
     def stars(self) -> DataFrame:
         """Each key's smallest class with the others."""
@@ -373,7 +410,7 @@ class _Join:
         points = self.classes.select("cid", "point")
         pairs = pairs.join(points.select(F.col("cid").alias("a"), F.col("point").alias("pa")), "a")
         pairs = pairs.join(points.select(F.col("cid").alias("b"), F.col("point").alias("pb")), "b")
-        return pairs.select("a", "b", "pa", "pb").mapInArrow(_bounded(self.m), "a long, b long")
+        return pairs.select("a", "b", "pa", "pb").mapInArrow(released(_bounded(self.m)), "a long, b long")
 
     def across(self, roots: DataFrame, nearest: bool) -> DataFrame:
         """Pairs of different components that share a key and that the tree can't rule out."""
@@ -385,7 +422,7 @@ class _Join:
         left = left.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         left = left.select("key", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"), "block", "cid", "comp")
         left = left.join(self.classes.select("cid", "point"), "cid").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-        return left.mapInArrow(_across(self.m, nearest), "a long, b long").distinct()
+        return left.mapInArrow(released(_across(self.m, nearest)), "a long, b long").distinct()
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """The links among pairs. Only the texts that are in them are taken apart again."""
@@ -394,7 +431,7 @@ class _Join:
         wanted = members.join(self.classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct()
         few = members.count() <= MOST_BROADCAST
         chosen = self.docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-        sets = chosen.select("text").mapInArrow(_token_sets(self.m), "cid long, tokens array<long>")
+        sets = chosen.select("text").mapInArrow(released(_token_sets(self.m)), "cid long, tokens array<long>")
         sets = self.store.write(sets.join(F.broadcast(members) if few else members, "cid", "left_semi"), f"sets_{name}")
         links = self.store.write(_verified(pairs, sets, self.m), f"links_{name}")
         self.store.drop(f"pairs_{name}", f"members_{name}", f"sets_{name}")
@@ -415,7 +452,7 @@ def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_co
     spark = docs.sparkSession
     store = Store(spark, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profile = store.write(docs.mapInArrow(_profile(m), "doc_id long, n long, cid long, cid2 long, point binary"), "profile")
+    profile = store.write(docs.mapInArrow(released(_profile(m)), "doc_id long, n long, cid long, cid2 long, point binary"), "profile")
     known = profile.where("doc_id IS NOT NULL AND n > 0")
     classes = known.groupBy("cid", "cid2").agg(F.min("doc_id").alias("rep"), F.first("point").alias("point"))
     classes = store.write(classes, "classes")

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from mergewell.llm.ngram_join import CountTree, Measure, _inside, _sets, near_duplicates, signatures
+from mergewell.llm.ngram_join import CountTree, Measure, _inside, _sets, groups_of, near_duplicates, points_matrix, signatures
 
 
 def shingles(text, width):
@@ -119,3 +119,25 @@ def test_tree_keeps_what_the_bound_keeps(n):
 def test_pairs_of_small_groups():
     i, j = _inside(np.array([0, 5, 6]), np.array([3, 1, 4]))
     assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 2), (6, 7), (6, 8), (6, 9), (7, 8), (7, 9), (8, 9)]
+
+
+def test_points_of_many_coordinates_add_up():
+    assert groups_of(np.array([0, 1, 512, 513, 4096, 4097, 10**9])).tolist() == [64, 64, 64, 256, 256, 1024, 64 * 4**4]
+    r = np.random.default_rng(1)
+    fine, coarse = r.integers(0, 9, 256).astype("<u2"), r.integers(0, 9, 64).astype("<u2")
+    got = points_matrix([fine.tobytes(), coarse.tobytes()], 64)
+    assert got[0].tolist() == [int(fine[k::64].sum()) for k in range(64)] and got[1].tolist() == coarse.tolist()
+
+
+def test_long_texts(spark):
+    r = random.Random(8)
+    base = [f"w{r.randint(0, 10**6)}" for _ in range(6000)]
+    rows = []
+    for i, (cut, edits) in enumerate([(6000, 0), (6000, 90), (6000, 700), (4300, 30), (4000, 60), (4000, 0), (500, 0), (530, 9), (515, 40)]):
+        words = base[:cut]
+        for _ in range(edits):
+            words[r.randrange(cut)] = f"x{r.random()}"
+        rows.append((i, " ".join(words)))
+    for m in (Measure(), Measure(5, 80, 100)):
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), m)
+        assert sorted(map(tuple, got.collect()), key=str) == brute(rows, m)
