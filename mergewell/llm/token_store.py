@@ -6,7 +6,8 @@ root of a Merkle tree over them. Reading verifies every chunk and every root.
 
 Files, under one folder: store/kind=chunk (digest, ids, little-endian, of `width` bytes each), store/kind=doc (doc_id,
 n_tokens, recipe, root) and index (doc_id ascending, start). One pass over the documents makes chunks and recipes, one
-shuffle drops copies of chunks. Texts are cut into segments that tokens never cross; each distinct one is encoded once.
+shuffle drops copies of chunks. Texts are cut into segments that tokens never cross; each distinct one is encoded once, as long
+as a worker remembers it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import os
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import Store
-from .textvec import U64, mix, pieces, span_hashes
+from .textvec import U64, mix, pieces, released, span_hashes
 
 WINDOW = 4
 _FACTORS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | U64(1)
@@ -33,14 +35,14 @@ _FACTORS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | U64(1)
 @dataclass(frozen=True)
 class Format:
     """tokenizer: path of its file. end: the id after each document, or None. width: bytes of an id. A chunk has about
-    mean ids, a power of two, and most at most. remembered: encoded segments that a task keeps."""
+    mean ids, a power of two, and most at most. remembered: encoded segments that a Python worker keeps."""
 
     tokenizer: str
     end: int | None = 2
     width: int = 2
     mean: int = 512
     most: int = 4096
-    remembered: int = 400_000
+    remembered: int = 1_000_000
 
 
 _SOLID = np.zeros(256, bool)
@@ -86,25 +88,26 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[int, int] = {}
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # Hashes of known segments, ascending; where each one's ids begin, and how many they are.
+        self.known, self.begin, self.size = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        """New segments, by ascending hashes."""
+        sizes = np.zeros(len(texts), np.int32)
+        before = self.used
         for s in range(0, len(texts), 4096):
             lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts[s : s + 4096], add_special_tokens=False)]
-            sizes = np.array([len(x) for x in lists], np.int64)
-            flat = np.array([i for x in lists for i in x], np.uint32)
-            at = len(self.number)
-            while at + len(lists) > len(self.begin):
-                self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
+            sizes[s : s + 4096] = [len(x) for x in lists]
+            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes[s : s + 4096].sum()))
             while self.used + len(flat) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.begin[at : at + len(lists)] = self.used + np.cumsum(sizes) - sizes
-            self.size[at : at + len(lists)] = sizes
+                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
             self.ids[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
-            self.number.update(zip(hashes[s : s + 4096], range(at, at + len(lists)), strict=True))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.begin = np.insert(self.begin, at, before + np.cumsum(sizes, dtype=np.int64) - sizes)
+        self.size = np.insert(self.size, at, sizes)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, texts one after the other, with the end id after each; and how many each text has."""
@@ -112,16 +115,16 @@ class Encoder:
         starts = segment_starts(data, offsets)
         if len(starts):
             ends = np.append(starts[1:], len(data))
-            hashes = span_hashes(data, ends - starts)
-            distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self.number) + len(distinct) > self.form.remembered:
+            distinct, where, back = np.unique(span_hashes(data, ends - starts), return_index=True, return_inverse=True)
+            if len(self.known) + len(distinct) > self.form.remembered:
                 self._forget()
-            values = distinct.tolist()
-            new = [i for i, h in enumerate(values) if h not in self.number]
-            raw = data.tobytes()
-            self._learn([values[i] for i in new], [raw[starts[k] : ends[k]].decode() for k in where[new].tolist()])
-            number = np.fromiter(map(self.number.__getitem__, values), np.int64, len(values))[back]
-            begin, size = self.begin[number], self.size[number]
+            at = np.minimum(np.searchsorted(self.known, distinct), max(0, len(self.known) - 1))
+            new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
+            if len(new):
+                raw = data.tobytes()
+                self._learn(distinct[new], [raw[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+                at = np.searchsorted(self.known, distinct)
+            begin, size = self.begin[at][back], self.size[at][back].astype(np.int64)
         else:
             begin = size = np.zeros(0, np.int64)
         of = np.searchsorted(starts, offsets)  # the first segment of each text
@@ -134,6 +137,17 @@ class Encoder:
         return ids, counts.astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+_KEPT: dict[Format, Encoder] = {}
+
+
+def encoder_of(form: Format) -> Encoder:
+    """This worker's encoder, which remembers segments from one task to the next; one is kept at a time."""
+    if form not in _KEPT:
+        _KEPT.clear()
+        _KEPT[form] = Encoder(form)
+    return _KEPT[form]
+
+
 def chunk_ends(ids: np.ndarray, counts: np.ndarray, form: Format) -> np.ndarray:
     """Where chunks end: at texts' ends, where the rolling hash of the last ids has zeros, and after every most ids."""
     rolling = np.zeros(len(ids), U64)
@@ -167,7 +181,7 @@ STORED = "kind string, route binary, doc_id long, n_tokens long, recipe array<bi
 
 def _encode(form: Format) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(form)
+        encoder = encoder_of(form)
         task, number = TaskContext.get().partitionId().to_bytes(4, "big"), 0
         kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
         names = [x.split(" ")[0] for x in STORED.split(", ")]
@@ -210,7 +224,7 @@ def write_store(docs: DataFrame, store: Store, form: Format) -> None:
     Null texts are empty: they have the end id only. Null ids come first. Other columns are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = rows.mapInArrow(_encode(form), STORED).dropDuplicates(["kind", "route"])
+    made = rows.mapInArrow(released(_encode(form)), STORED).dropDuplicates(["kind", "route"])
     made.write.option("compression", "zstd").partitionBy("kind").parquet(store.path("store"))
     known = _stored(docs.sparkSession, store).where("kind = 'doc'").select("doc_id", "root", "route", "n_tokens")
     ordered = known.repartitionByRange("doc_id", "root", "route").sortWithinPartitions("doc_id", "root", "route")
@@ -302,7 +316,7 @@ def read_summary(spark: SparkSession, store: Store, form: Format) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files. Damaged or missing chunks fail.
 
     Each chunk is read once; its ids go no further than its crc32, from which documents' are put together."""
-    chunks = _stored(spark, store).where("kind = 'chunk'").select(F.col("route").alias("digest"), "ids").mapInArrow(_verified(form.width), "digest binary, n long, crc long")
+    chunks = _stored(spark, store).where("kind = 'chunk'").select(F.col("route").alias("digest"), "ids").mapInArrow(released(_verified(form.width)), "digest binary, n long, crc long")
     docs = _recipes(spark, store)
     used = docs.select("route", F.posexplode_outer("recipe").alias("seq", "digest")).join(chunks, "digest", "left")
     used = used.groupBy("route").agg(F.array_sort(F.collect_list(F.when(F.col("seq").isNotNull(), F.struct("seq", "digest", "n", "crc")))).alias("parts"))
