@@ -45,7 +45,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     compared = texts.join(kept, "h")
     strays = compared.where(F.col("text") != F.col("kept.text")).select("doc_id", "text", "text_sha256", "h")
     strays = store.write(strays, "strays")
-    sure = narrow.join(several, "h", "left")
+    sure = narrow.join(F.broadcast(several) if few else several, "h", "left")
     if strays.limit(1).count():  # bytes differ under one hash: these groups are formed by the bytes themselves
         bad = strays.select("h").distinct()
         sure = sure.join(bad, "h", "left_anti")
@@ -53,6 +53,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         by_bytes = mixed.groupBy("text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         again = mixed.join(by_bytes, "text").select(F.concat("h", F.unhex("text_sha256")).alias("h"), "doc_id", "text_sha256", "keep_id", "group_size")
         sure = sure.unionByName(again)
+    else:
+        store.drop("texts")
     sure = sure.select("doc_id", "h", "text_sha256", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
     first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # Rows that repeat the kept id: one of them stays. Such ids are looked for among kept rows only.
