@@ -544,4 +544,4 @@ def lr_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def lr_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = length_scores(spark, sf_dir).drop("score")
-    return model.fit_descent(rows, ["n_chars", "toxic"], epochs=40).score(rows).select("doc_id", "label", rounded(F.col("score")).alias("score"))
+    return model.fit_descent(rows, ["n_chars", "toxic"]).score(rows).select("doc_id", "label", rounded(F.col("score")).alias("score"))

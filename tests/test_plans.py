@@ -1,5 +1,7 @@
 import json
 
+import numpy as np
+from mergewell import queries
 from mergewell.__main__ import main
 from mergewell.plans import lookup, model, pipeline
 from mergewell.sources import entities, links, sample
@@ -30,6 +32,23 @@ def test_models_separate_classes(spark):
         assert abs(model.fit(one, ["x"]).score(one).first().score - label) < 1e-6
 
 
+def test_descent_query_runs_all_epochs(spark, tmp_path):
+    r = np.random.default_rng(3)
+    docs = [(i, int(r.integers(1, 20000))) for i in range(60)]
+    labels = [(i, int(n + r.normal(0, 6000) > 9000), int(r.random() < 0.3)) for i, n in docs]
+    spark.createDataFrame(docs, "doc_id long, n_chars long").write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    got = {x.doc_id: x.score for x in queries.QUERIES["lr_gd"](spark, f"file://{tmp_path}").collect()}
+    x, y = np.array([[n, t] for (_, n), (_, _, t) in zip(docs, labels, strict=True)], float), np.array([q for _, q, _ in labels], float)
+    x = (x - x.mean(0)) / x.std(0)
+    weight, w, b = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0), np.zeros(2), 0.0
+    for _ in range(400):
+        error = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y) * weight
+        w, b = w - 0.05 * (x.T @ error / len(y) + 0.01 * w), b - 0.05 * error.sum() / len(y)
+    want = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.abs(want - [got[i] for i, _ in docs]).max() < 2e-6
+
+
 def tables(spark, split):
     data = sample.frames(spark, split)
     return tuple(entities.standardize(data[k], f"s{k}") for k in "123"), data["truth"]
