@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes token ids, and returns each document's place in them as read back."""
-    return token_store.store_round_trip(docs, token_store.Format(TOKENIZER))
+    return token_store.store_round_trip(docs, token_store.Format(TOKENIZER, added=True))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

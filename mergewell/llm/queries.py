@@ -29,7 +29,7 @@ def op2_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.store_round_trip(read_table(spark, sf_dir, "documents"), token_store.Format(TOKENIZER))
+    return token_store.store_round_trip(read_table(spark, sf_dir, "documents"), token_store.Format(TOKENIZER, added=True))
 
 
 def op4_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,15 @@ root of a Merkle tree over them. Reading verifies every chunk and every root.
 Files, under one folder: store/kind=chunk (digest, ids, little-endian, of `width` bytes each), store/kind=doc (doc_id,
 n_tokens, recipe, root) and index (doc_id ascending, start). One pass over the documents makes chunks and recipes, one
 shuffle drops copies of chunks. Texts are cut into segments that tokens never cross; each distinct one is encoded once, as long
-as a worker remembers it.
+as a worker remembers it. With `added`, texts have the ids of a plain encode call, which finds the tokenizer file's added
+tokens in them; without it, special ones are kept as ordinary text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -35,7 +37,8 @@ _FACTORS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | U64(1)
 @dataclass(frozen=True)
 class Format:
     """tokenizer: path of its file. end: the id after each document, or None. width: bytes of an id. A chunk has about
-    mean ids, a power of two, and most at most. remembered: encoded segments that a Python worker keeps."""
+    mean ids, a power of two, and most at most. remembered: encoded segments that a Python worker keeps. added: special added
+    tokens are found in texts, as by a plain encode call."""
 
     tokenizer: str
     end: int | None = 2
@@ -43,6 +46,7 @@ class Format:
     mean: int = 512
     most: int = 4096
     remembered: int = 1_000_000
+    added: bool = False
 
 
 _SOLID = np.zeros(256, bool)
@@ -84,7 +88,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.form, self.tokenizer = form, Tokenizer.from_file(form.tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not form.added
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and (form.added or not t.special)]
+        # The longest of those at one place counts, as in the library.
+        self.pattern = re.compile(b"|".join(re.escape(x) for x in sorted((t.content.encode() for t in tokens), key=len, reverse=True))) if tokens else None
+        self.literal = len({t.normalized for t in tokens}) <= 1 and not any(t.single_word or t.lstrip or t.rstrip for t in tokens)
         self._forget()
 
     def _forget(self) -> None:
@@ -109,10 +117,25 @@ class Encoder:
         self.begin = np.insert(self.begin, at, before + np.cumsum(sizes, dtype=np.int64) - sizes)
         self.size = np.insert(self.size, at, sizes)
 
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Segments' starts. An added token is a segment of its own, and texts around it are cut as if they were whole texts.
+
+        Where a token's place depends on what is around it, texts that have one are not cut at all."""
+        raw = data.tobytes()
+        if self.pattern is None or self.pattern.search(raw) is None:
+            return segment_starts(data, offsets)
+        spans = []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            found = [m.span() for m in self.pattern.finditer(raw, a, b)]
+            spans += found if self.literal or not found else [(a, b)]
+        begin, end = np.array(spans, np.int64).reshape(-1, 2).T
+        starts = segment_starts(data, np.sort(np.concatenate([offsets, begin, end])))
+        return starts[np.searchsorted(end, starts, side="right") >= np.searchsorted(begin, starts, side="left")]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, texts one after the other, with the end id after each; and how many each text has."""
         n = len(offsets) - 1
-        starts = segment_starts(data, offsets)
+        starts = self._starts(data, offsets)
         if len(starts):
             ends = np.append(starts[1:], len(data))
             distinct, where, back = np.unique(span_hashes(data, ends - starts), return_index=True, return_inverse=True)

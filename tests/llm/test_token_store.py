@@ -1,11 +1,13 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
+from mergewell.llm import queries
 from mergewell.llm.store import Store
 from mergewell.llm.token_store import Encoder, Format, chunk_ends, joined_crc, merkle_root, read_documents, read_summary, write_store
 from tokenizers import Tokenizer
@@ -39,6 +41,38 @@ def test_segments_don_t_change_ids(encoder, texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*encoder.reference.encode(t, add_special_tokens=False).ids, 2] for t in texts]
 
 
+@pytest.fixture(scope="module")
+def plain_encoder():
+    return Encoder(Format(PATH, mean=16, most=40, added=True))
+
+
+PLAIN = Tokenizer.from_file(PATH)
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", "<|endo", "ftext|>", "<|", "|>", "t", " ", "  ", "\n", "a", "a.", "'s", "漢"]), max_size=30).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(st.one_of(SPECIAL, ODD), min_size=1, max_size=4))
+@example(texts=["first part<|endoftext|> second"])
+@example(texts=["a<|endo", "ftext|> b", "x  <|endoftext|>\n<|endoftext|>"])
+def test_added_tokens_are_found(plain_encoder, texts):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ids, counts = plain_encoder.encode(data, np.cumsum([0, *(len(t.encode()) for t in texts)]))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*PLAIN.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_query_and_stage_find_added_tokens(spark, tmp_path):
+    texts = ["first part<|endoftext|> second", "<|endoftext|>", "no end <|endo", "x  <|endoftext|>\n<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    want, at = [], 0
+    for i, t in enumerate(texts):
+        ids = [*PLAIN.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    for found in (queries.op3_token_store(spark, f"file://{tmp_path}"), corpus_pipeline.store_tokens(spark, docs, "")):
+        assert sorted(map(tuple, found.collect())) == want
+
+
 def documents(seed):
     r = random.Random(seed)
     passage = " ".join(r.choice(["alpha", "beta", "gamma,", "Delta."]) + str(r.randint(0, 99)) for _ in range(150))
