@@ -25,11 +25,15 @@ def name_keys(df: DataFrame, id_col: str) -> DataFrame:
 
 def match_names(names: DataFrame, records: DataFrame, limit: int = 5, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """(query_id, query, business_name, score, is_match): for each name (query_id, name) its best records (id, name) among
-    those that share a key with it. Keys of very many records are left out."""
+    those that share a key with it. Keys of very many records are left out; a name that has none of the other records' keys
+    is held against all records, as in a lookup. A blank name finds nothing."""
     theirs = prune_keys(name_keys(records, "id"), MAX_POSTINGS)
     mine = name_keys(names, "query_id").select("key", F.col("id").alias("query_id"), F.col("norm_name").alias("q"), F.col("name").alias("query"))
     pairs = mine.join(theirs, "key").groupBy("query_id", "id").agg(*[F.first(c).alias(c) for c in ("q", "query", "norm_name", "name")])
-    scored = pairs.withColumn("raw", name_score(F.col("q"), F.col("norm_name")))
+    asked = names.where(F.col("name").rlike(r"\S")).select("query_id", normalize_name(F.col("name")).alias("q"), F.col("name").alias("query"))
+    left = asked.join(mine.join(theirs, "key", "left_semi"), "query_id", "left_anti")
+    scanned = left.crossJoin(records.select("id", normalize_name(F.col("name")).alias("norm_name"), "name"))
+    scored = pairs.unionByName(scanned).withColumn("raw", name_score(F.col("q"), F.col("norm_name")))
     best = Window.partitionBy("query_id").orderBy(F.desc("raw"), "name", "id")
     top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
     return top.select("query_id", "query", F.col("name").alias("business_name"), F.round("raw", 4).alias("score"), (F.col("raw") >= threshold).alias("is_match"))

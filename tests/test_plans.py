@@ -90,3 +90,13 @@ def test_stream_equals_table(spark, tmp_path):
     want = match_names(names, records(spark)).collect()
     assert sorted(map(tuple, found)) == sorted(map(tuple, want)) and {r.query_id for r in want} == {1, 2}
     assert {(r.query, r.business_name, r.score) for r in want if r.is_match} == {("Starlight", "Starlight", 0.6625)}
+
+
+def test_names_without_rare_keys_are_held_against_all_records(spark):
+    many = spark.range(1600).selectExpr("cast(id AS string) AS id", "concat('Acme Holdings ', id) AS name").unionByName(spark.createDataFrame([("hp", "HP")], "id string, name string"))
+    names = spark.createDataFrame([(1, "Acme Holdings 77"), (2, "HP"), (3, " ")], "query_id long, name string")
+    best = {}
+    for r in match_names(names, many, 2).collect():
+        best.setdefault(r.query_id, []).append((r.score, r.business_name, r.is_match))
+    assert {k: max(v) for k, v in best.items()} == {1: (0.6625, "Acme Holdings 77", True), 2: (0.6625, "HP", True)}
+    assert all(len(v) == 2 for v in best.values())
