@@ -159,16 +159,21 @@ def ragged(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
+def give_back() -> None:
+    """Frees the memory that this Python worker, which goes on to live, no longer uses."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run, after which the Python worker, which goes on to live, gives back the memory that it no longer uses."""
+    """run, after which the worker gives back memory."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
-            if trim:
-                trim(0)
+            give_back()
 
     return wrapped

@@ -3,8 +3,9 @@ import random
 import re
 
 import mergewell.llm.suffix_automaton as module
+import numpy as np
 import pytest
-from mergewell.llm.suffix_automaton import SuffixAutomaton, hits, remove_items, union, word_hashes
+from mergewell.llm.suffix_automaton import SuffixAutomaton, automata, hits, remove_items, union, word_hashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -45,13 +46,14 @@ def corpus(seed, alphabet, n_docs=70, n_items=25):
     return [*docs, (900, None), (901, ""), (902, "?!"), (900, "a b"), (None, "a b a")], [*items, (77, None), (78, "…"), (None, "a b a")]
 
 
-@pytest.mark.parametrize(("seed", "alphabet", "blocks"), [(1, ["a", "b", "é1"], 1), (2, [f"w{i}" for i in range(40)], 1), (3, ["a", "b", "c"], 7)])
-def test_against_every_window(spark, monkeypatch, seed, alphabet, blocks):
+@pytest.mark.parametrize(("seed", "alphabet", "blocks", "passes"), [(1, ["a", "b", "é1"], 1, 1), (2, [f"w{i}" for i in range(40)], 1, 1), (3, ["a", "b", "c"], 7, 3), (4, ["a", "b", "c", "d"], 30, 1)])
+def test_against_every_window(spark, monkeypatch, seed, alphabet, blocks, passes):
     docs, items = corpus(seed, alphabet)
     if seed == 2:
         items = [x for x in items if len(words(x[1])) != 1]
-    if blocks > 1:
-        monkeypatch.setattr(module, "BLOCK_BYTES", sum(len((t or "").encode()) for _, t in items) // blocks)
+    if blocks > 1:  # long items in several automata, automata in several passes
+        monkeypatch.setattr(module, "BLOCK_WORDS", sum(len(words(t)) for _, t in items) // blocks)
+        monkeypatch.setattr(module, "PASS_BYTES", sum(a.nbytes for a in automata([("", t or "") for _, t in items], 10)) // passes)
     got = hits(
         spark.createDataFrame([(a, t, "x") for a, t in docs], "doc_id long, text string, found string").repartition(3),
         spark.createDataFrame([(a, t, 1) for a, t in items], "item_id long, text string, spans int"),
@@ -81,3 +83,26 @@ def test_removal(spark):
     assert got[1].text == "Before it. ! After the passage come many more words than it has, so the text stays for all that."
     assert got[1].n_chars == len(got[1].text) and got[1].row == "x"
     assert got[3].text == "Clean, as it was." and got[4].text is None and got[4].n_chars == 7
+
+
+def test_long_items_are_cut_without_losing_a_window(monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_WORDS", 50)
+    text = " ".join(f"w{i * i % 97}x{i}" for i in range(333))
+    several = list(automata([("a", text), ("b", ""), ("c", "x y z")], 10))
+    assert len(several) > 6
+    whole = word_hashes(text)
+    covered = set()
+    for a in several:
+        ids = a.ids(whole)
+        for x, y in a.stretches(ids, np.array([0, len(ids)])).tolist():
+            for p, q in a.matches(ids[x:y].tolist(), x)[0]:
+                covered |= set(range(p, q))
+    assert covered == set(range(333)) and sum("c" in a.names for a in several) == 1
+
+
+def test_very_long_text(spark):
+    """A text of several pieces' bytes, with a passage at its very end."""
+    item = " ".join(f"t{i}" for i in range(12))
+    text = "filler words and more " * 120_000 + item
+    got = hits(spark.createDataFrame([(1, text), (2, text), (2, None)], "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert sorted(r[:4] for r in got.collect()) == [(1, 480_012, 12, 1), (2, 0, 0, 0), (2, 480_012, 12, 1)]
