@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import bounded_batches
-from .textvec import ALNUM, U64, Words, distinct_by_text, mix, pieces, ragged, released
+from .textvec import ALNUM, U64, Words, distinct_by_text, give_back, mix, pieces, ragged, released
 
 #: Identity terms; those of one line stand for each other.
 IDENTITIES = [
@@ -236,26 +236,30 @@ def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
     return fit(found["toxic"].to_numpy(), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], found["changes"].to_pylist(), t)
 
 
-def _score(weights, n: int) -> Callable:  # noqa: ANN001
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scorer(weights, n: int) -> Callable:  # noqa: ANN001
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = weights.value
-        for batch in batches:
-            scores = [np.zeros(0)]
-            for lo, hi, feature, sizes, _ in _features(batch.column(1), n):
-                z = np.bincount(np.repeat(np.arange(hi - lo), sizes), w[feature], hi - lo) + w[-1]
-                scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["row", "score"])
+        try:
+            for texts in batches:
+                scores = [np.zeros(0)]
+                for lo, hi, feature, sizes, _ in _features(texts, n):
+                    z = np.bincount(np.repeat(np.arange(hi - lo), sizes), w[feature], hi - lo) + w[-1]
+                    scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                yield pa.array(np.concatenate(scores))
+        finally:
+            give_back()
 
-    return run
+    return F.arrow_udf(run, "double").asNondeterministic()  # else a filter on the score would score again
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """(row, score): every row of docs as it came, and the chance from 0 to 1 that label 1 fits its text."""
+    """(row, score): every row of docs as it came, and the chance from 0 to 1 that label 1 fits its text.
+
+    Only texts go to Python. Null and empty ones get the intercept's score; repeated rows get equal scores."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(released(_score(shared, len(weights) - 1)), f"row {kind}, score double")
+    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))  # 8 bytes a feature, whatever the texts
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    return docs.select(row, _scorer(shared, len(weights) - 1)(docs[text_col].cast("string")).alias("score"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
