@@ -126,7 +126,8 @@ SQL: dict[str, str] = {
         SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               CAST(sum(length({_ESCAPED.format("text")}) + length({_ESCAPED.format("role")}) + {_FIXED}) AS BIGINT) AS formatted_chars
+               CAST(sum(length({_ESCAPED.format("text")}) + length({_ESCAPED.format("role")}) + {_FIXED}) AS BIGINT) AS formatted_chars,
+               CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attached_tokens
         FROM c GROUP BY conv_id""",
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
