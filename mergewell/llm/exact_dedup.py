@@ -1,9 +1,10 @@
 """Exact dedup: group by a 128-bit content hash, keep the smallest id, compare bytes inside groups. Native throughout.
 
 Only hashes, ids and counts are grouped, and Spark adds them up before it shuffles, so a text with very many copies costs
-each task one row. Texts move once, to meet the text of their group's kept row; that join is of rows with unique rows, whose
-large keys adaptive execution splits. A row whose bytes differ from its group's kept row collides; such rows are grouped
-again by their bytes.
+each task one row. Bytes are compared by grouping the texts of hashes with company by hash and bytes: each task first brings
+its own copies down to one, so a text moves once a task, however many copies it has. A hash with two texts is a collision;
+its rows are grouped again by their bytes. Rows meet their group by a broadcast of checked size, or else by a join of two
+written tables, whose large keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -36,25 +37,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     narrow = store.write(rows.select("doc_id", "h", "text_sha256"), "rows")
     groups = narrow.groupBy("h").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     several = store.write(groups.where("group_size > 1"), "several")
-    # The texts of rows with company, and of one of each group's kept rows.
     few = several.count() <= MOST_BROADCAST
-    texts = rows.select("doc_id", "h", "text", "text_sha256").join(F.broadcast(several) if few else several, "h")
-    texts = store.write(texts, "texts")
-    is_kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    kept = texts.where(is_kept).groupBy("h").agg(F.min(F.struct("text_sha256", "text")).alias("kept"))
-    compared = texts.join(kept, "h")
-    strays = compared.where(F.col("text") != F.col("kept.text")).select("doc_id", "text", "text_sha256", "h")
-    strays = store.write(strays, "strays")
-    sure = narrow.join(F.broadcast(several) if few else several, "h", "left")
-    if strays.limit(1).count():  # bytes differ under one hash: these groups are formed by the bytes themselves
-        bad = strays.select("h").distinct()
+    several = F.broadcast(several) if few else several
+    texts = rows.select("h", "text").join(several.select("h"), "h", "left_semi").groupBy("h", "text").agg(F.count("*").alias("n"))
+    bad = store.write(texts.groupBy("h").agg(F.count("*").alias("texts")).where("texts > 1").select("h"), "collisions")
+    sure = narrow.join(several, "h", "left")
+    if bad.limit(1).count():  # bytes differ under one hash: these groups are formed by the bytes themselves
         sure = sure.join(bad, "h", "left_anti")
-        mixed = texts.join(bad, "h", "left_semi").select("doc_id", "text", "text_sha256", "h")
-        by_bytes = mixed.groupBy("text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        mixed = store.write(rows.join(bad, "h", "left_semi"), "mixed")
+        by_bytes = store.write(mixed.groupBy("text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "by_bytes")
         again = mixed.join(by_bytes, "text").select(F.concat("h", F.unhex("text_sha256")).alias("h"), "doc_id", "text_sha256", "keep_id", "group_size")
         sure = sure.unionByName(again)
-    else:
-        store.drop("texts")
     sure = sure.select("doc_id", "h", "text_sha256", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
     first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # Rows that repeat the kept id: one of them stays. Such ids are looked for among kept rows only.
