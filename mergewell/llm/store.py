@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -25,7 +27,7 @@ class Store:
     """A folder of tables under spark.checkpoint.dir, which driver and executors share.
 
     Only a local session may go without that setting; it gets a temporary folder. A written table cuts lineage, and what
-    it holds outlives any executor.
+    it holds outlives any executor. Results may be read from such tables until the driver ends; then the folder is deleted.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -39,6 +41,7 @@ class Store:
                 base = "file://" + tempfile.mkdtemp(prefix="mergewell-")
                 spark.conf.set("mergewell.local.dir", base)
         self.spark, self.root = spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        atexit.register(_removed, spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -51,8 +54,18 @@ class Store:
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         for name in names:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(self.spark, self.path(name))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _removed(spark: SparkSession, root: str) -> None:
+    """At the driver's end: what results were read from goes too."""
+    with contextlib.suppress(Exception):  # the session's Java side may be gone
+        _delete(spark, root)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
