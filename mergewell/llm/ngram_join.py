@@ -7,7 +7,7 @@ The tokens are a text's distinct word shingles. Three facts make the join exact
    into groups. Group counts of at most d runs differ, so among the first d + 1 runs one has equal counts; that run's
    counts, hashed, are a key that linked classes share. Sizes fall into bands, and runs are as many as the band's
    largest size asks for; a class also takes part in the band above if a partner may be there. Runs may be empty in both
-   sets. Some runs beyond d + 1 are taken, and a class with more empty runs than that uses its empty runs as keys too.
+   sets. Some runs beyond d + 1 are taken, and a class with more empty runs than that goes on to another layout of runs.
 3. Classes that share a key are points of an R-tree whose coordinates are counts in groups over the whole set: the more the
    larger it is, as the bound gets weaker with tokens to a group; groups add up to fewer where sizes differ. The sum of the
    smaller coordinates bounds the overlap of two points, and with a node's largest coordinates that of all in it.
@@ -31,10 +31,14 @@ from .components import components
 from .store import Store
 from .textvec import NOT_SPACE, U64, Words, distinct_by_text, mix, pieces, ragged, released, shingle_hashes
 
-#: Groups inside a run.
-INNER = 256
+#: Groups inside a run: so many that unrelated runs hardly ever have equal counts.
+INNER = 1 << 32
+#: Layouts of runs, the next for classes that have too many empty runs in all before.
+LAYOUTS = 8
 #: A key's classes are compared in blocks of about so many.
 BLOCK = 2048
+#: Coordinates that are compared at once.
+AT_ONCE = 1_000_000
 #: Rounds that try the nearest pair of every two components, before all pairs that are left.
 NEAREST = 2
 #: Up to so many ids (8 bytes each) may be broadcast.
@@ -88,6 +92,16 @@ def class_ids(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> tuple[np.ndar
     return mix(one + sizes.astype(U64)).view(np.int64), mix(two ^ (sizes.astype(U64) << U64(32))).view(np.int64)
 
 
+def node_ids(one: np.ndarray, two: np.ndarray, renamed: dict[tuple[int, int], int]) -> np.ndarray:
+    """64 bits for each class: the first half of its id, but for classes that share that half with another."""
+    if renamed:
+        out = one.copy()
+        for i in np.flatnonzero(np.isin(one, [x for x, _ in renamed])).tolist():
+            out[i] = renamed[int(one[i]), int(two[i])]
+        return out
+    return one
+
+
 def groups_of(sizes: np.ndarray) -> np.ndarray:
     """Coordinates of sets of these sizes: 64, four times as many beyond 512 tokens, and so on."""
     more = np.ceil(np.log2(np.maximum(sizes, 512) / 512) / 3).astype(np.int64)
@@ -121,48 +135,56 @@ def _profile(m: Measure) -> Callable:
 
 
 def signatures(tokens: np.ndarray, of: np.ndarray, sizes: np.ndarray, m: Measure) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and the row of each: rows that are linked, and differ, share one."""
+    """Keys and the row of each: rows that are linked, and differ, share one.
+
+    Of the runs that linked rows take in a band, more than `spare` are equal. If one of the two has no more empty runs than
+    that, an equal run is filled, and a key of both. If neither has, both go on to the next layout; only the last one, which
+    hardly any row comes to, has keys of empty runs, which don't depend on what rows hold."""
     edges = m.edges(int(sizes.max(initial=1)) * m.den // m.num + 1)
     band, top = np.searchsorted(edges, sizes), np.searchsorted(edges, sizes * m.den // m.num)
     keys, rows = [], []
-    token_run, inner = mix(tokens ^ U64(0xD6E8FEB86659FD93)), mix(tokens + U64(0xA0761D6478BD642F)) % U64(INNER)
     for up in range(int((top - band).max(initial=0)) + 1):
         mine = (band + up <= top) & (sizes > 0)
         upper = edges[np.minimum(band + up, len(edges) - 1)]
         differ = m.differ(sizes, np.minimum(upper, sizes * m.den // m.num))
         mine &= differ > 0  # else only equal sets are linked
-        if not mine.any():
-            continue
         most = m.differ(upper, upper)
         spare = 3 + most // 16
         runs, taken = most + 1 + spare, differ + 1 + spare
-        held = np.repeat(mine, sizes)
-        who, t, g = of[held], token_run[held], inner[held]
-        run = (t % runs[who].astype(U64)).astype(np.int64)
-        used = run < taken[who]
-        who, run, g = who[used], run[used], g[used]
-        place = np.cumsum(np.where(mine, taken, 0)) - np.where(mine, taken, 0)
-        total = int(np.where(mine, taken, 0).sum())
-        at, value = place[who] + run, mix((run.astype(U64) << U64(20)) + g + U64(1))
-        low = np.bincount(at, (value & U64(0xFFFFFFFF)).astype(np.float64), total).astype(np.int64)
-        high = np.bincount(at, (value >> U64(32)).astype(np.float64), total).astype(np.int64)
-        owner = np.repeat(np.flatnonzero(mine), taken[mine])
-        number = np.arange(total) - place[owner]
-        empty = (low == 0) & (high == 0)
-        none = np.bincount(owner[empty], minlength=len(sizes))
-        keep = ~empty | (none > spare)[owner]
-        label = mix(upper[owner].astype(U64) * U64(1 << 24) + number.astype(U64))
-        keys.append(mix(mix(low.astype(U64) + label) ^ (high.astype(U64) * U64(0x9E3779B97F4A7C15)))[keep])
-        rows.append(owner[keep])
+        for layout in range(LAYOUTS):
+            if not mine.any():
+                break
+            held = np.repeat(mine, sizes)
+            who, t = of[held], tokens[held]
+            run = (mix(t ^ U64(0xD6E8FEB86659FD93 + layout)) % runs[who].astype(U64)).astype(np.int64)
+            used = run < taken[who]
+            who, run, t = who[used], run[used], t[used]
+            group = mix(t + U64(0xA0761D6478BD642F)) % U64(INNER)
+            place = np.cumsum(np.where(mine, taken, 0)) - np.where(mine, taken, 0)
+            total = int(np.where(mine, taken, 0).sum())
+            at, value = place[who] + run, mix((run.astype(U64) << U64(40)) + group + U64(1))
+            low = np.bincount(at, (value & U64(0xFFFFFFFF)).astype(np.float64), total).astype(np.int64)
+            high = np.bincount(at, (value >> U64(32)).astype(np.float64), total).astype(np.int64)
+            owner = np.repeat(np.flatnonzero(mine), taken[mine])
+            number = np.arange(total) - place[owner]
+            empty = np.bincount(at, minlength=total) == 0
+            none = np.bincount(owner[empty], minlength=len(sizes))
+            mine = mine & (none > spare)
+            keep = ~empty
+            if layout == LAYOUTS - 1:
+                keep |= mine[owner]
+            label = mix((upper[owner].astype(U64) * U64(LAYOUTS) + U64(layout)) * U64(1 << 24) + number.astype(U64))
+            keys.append(mix(mix(low.astype(U64) + label) ^ (high.astype(U64) * U64(0x9E3779B97F4A7C15)))[keep])
+            rows.append(owner[keep])
     return (np.concatenate(keys) if keys else np.zeros(0, U64)), (np.concatenate(rows) if rows else np.zeros(0, np.int64))
 
 
-def _keys(m: Measure, remembered: int = 200_000) -> Callable:
+def _keys(m: Measure, renamed: dict[tuple[int, int], int], remembered: int = 200_000) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies that this task has met before need no keys; their first has them
         for batch in batches:
             for _, _, tokens, of, sizes in _sets(batch.column(0), m):
-                one, _ = class_ids(tokens, sizes, m.seed)
+                one = node_ids(*class_ids(tokens, sizes, m.seed), renamed)
                 fresh = np.zeros(len(one), bool)
                 for i, c in enumerate(one.tolist()):
                     if c not in seen:
@@ -220,8 +242,8 @@ def _bounded(m: Measure) -> Callable:
             ok = np.zeros(len(groups), bool)
             for n in np.unique(groups).tolist():
                 at = np.flatnonzero(groups == n)
-                for s in range(0, len(at), 1 + 4_000_000 // n):
-                    part = at[s : s + 1 + 4_000_000 // n]
+                for s in range(0, len(at), 1 + AT_ONCE // n):
+                    part = at[s : s + 1 + AT_ONCE // n]
                     x, y = (points_matrix([z[i] for i in part.tolist()], n) for z in (a, b))
                     ok[part] = np.minimum(x, y).sum(1) >= m.needed(x.sum(1), y.sum(1))
             if len(groups):
@@ -267,7 +289,7 @@ class CountTree:
 
     def join(self, other: CountTree, m: Measure) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the points, here and there, that are of different components and may be linked."""
-        depth, step = max(len(self.levels), len(other.levels)) - 1, 1 + 6_000_000 // self.points.shape[1]
+        depth, step = max(len(self.levels), len(other.levels)) - 1, 1 + AT_ONCE // self.points.shape[1]
         i, j = (x.ravel() for x in np.meshgrid(*(np.arange(len(t.levels[-1][0])) for t in (self, other)), indexing="ij"))
         for level in range(depth, -1, -1):
             (ha, la, ma, ca, da), (hb, lb, mb, cb, db) = (t.levels[min(level, len(t.levels) - 1)] for t in (self, other))
@@ -312,7 +334,7 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
     Groups of a leaf's size need no tree. nearest: of each two components, only the pair with most overlap to spare."""
 
     def overlaps(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        step = 1 + 6_000_000 // points.shape[1]
+        step = 1 + AT_ONCE // points.shape[1]
         return np.concatenate([np.zeros(0, np.int64), *(np.minimum(points[i[s : s + step]], points[j[s : s + step]]).sum(1) for s in range(0, len(i), step))])
 
     def pairs(cid: np.ndarray, comp: np.ndarray, block: np.ndarray, low: np.ndarray, high: np.ndarray, points: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
@@ -374,11 +396,11 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
     return run
 
 
-def _token_sets(m: Measure) -> Callable:
+def _token_sets(m: Measure, renamed: dict[tuple[int, int], int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, tokens, _, sizes in _sets(batch.column(0), m):
-                one, _ = class_ids(tokens, sizes, m.seed)
+                one = node_ids(*class_ids(tokens, sizes, m.seed), renamed)
                 yield pa.RecordBatch.from_arrays([pa.array(one), ragged(tokens.view(np.int64), sizes, pa.int64())], names=["cid", "tokens"])
 
     return run
@@ -396,11 +418,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, m: Measure) -> DataFrame:
 class _Join:
     """The tables of one join, and its steps."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, m: Measure, store: Store):
-        self.docs, self.classes, self.m, self.store = docs, classes, m, store
+    def __init__(self, docs: DataFrame, classes: DataFrame, m: Measure, store: Store, renamed: dict[tuple[int, int], int] | None = None):
+        self.docs, self.classes, self.m, self.store, self.renamed = docs, classes, m, store, renamed or {}
 
     def find_shared(self) -> None:
-        keys = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(released(_keys(self.m)), "key long, cid long")
+        keys = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(released(_keys(self.m, self.renamed)), "key long, cid long")
         keys = keys.repartition("key").sortWithinPartitions("key", "cid")
         self.shared = self.store.write(keys.mapInArrow(released(_shared), "key long, cid long, lead long"), "shared")
 
@@ -412,12 +434,14 @@ class _Join:
         pairs = pairs.join(points.select(F.col("cid").alias("b"), F.col("point").alias("pb")), "b")
         return pairs.select("a", "b", "pa", "pb").mapInArrow(released(_bounded(self.m)), "a long, b long")
 
-    def across(self, roots: DataFrame, nearest: bool) -> DataFrame:
+    def across(self, roots: DataFrame, nearest: bool, name: str) -> DataFrame:
         """Pairs of different components that share a key and that the tree can't rule out."""
         comp = self.shared.select("key", "cid").join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
         comp = comp.select("key", "cid", F.coalesce("root", "cid").alias("comp"))
         several = comp.groupBy("key").agg(F.min("comp").alias("one"), F.max("comp").alias("two"), F.count("*").alias("members")).where("one <> two")
-        left = comp.join(several.select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")), "key")
+        # A written table, so that adaptive execution can split the join's large keys.
+        several = self.store.write(several.select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")), f"several_{name}")
+        left = comp.join(several, "key")
         left = left.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         left = left.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         left = left.select("key", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"), "block", "cid", "comp")
@@ -431,7 +455,7 @@ class _Join:
         wanted = members.join(self.classes.select("cid", "rep"), "cid").select(F.col("rep").alias("doc_id")).distinct()
         few = members.count() <= MOST_BROADCAST
         chosen = self.docs.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-        sets = chosen.select("text").mapInArrow(released(_token_sets(self.m)), "cid long, tokens array<long>")
+        sets = chosen.select("text").mapInArrow(released(_token_sets(self.m, self.renamed)), "cid long, tokens array<long>")
         sets = self.store.write(sets.join(F.broadcast(members) if few else members, "cid", "left_semi"), f"sets_{name}")
         links = self.store.write(_verified(pairs, sets, self.m), f"links_{name}")
         self.store.drop(f"pairs_{name}", f"members_{name}", f"sets_{name}")
@@ -442,6 +466,22 @@ class _Join:
         return components(edges, self.store, name)
 
 
+def _renamed(classes: DataFrame) -> dict[tuple[int, int], int]:
+    """Node ids of the classes that share the first half of their id with another class, few even among very many classes:
+    about half their number squared, divided by 2 to the 64."""
+    clashing = classes.groupBy("cid").count().where("count > 1").select("cid")
+    found = classes.select("cid", "cid2").join(clashing, "cid").orderBy("cid", "cid2").collect()
+    for k in range(1, 100 if found else 1):
+        one, two = (np.array([r[i] for r in found], np.int64).view(U64) for i in (0, 1))
+        new = mix(one ^ mix(two + U64(k))).view(np.int64).tolist()
+        taken = classes.sparkSession.createDataFrame([(x,) for x in new], "cid long")
+        if len(set(new)) == len(new) and not classes.join(F.broadcast(taken), "cid", "left_semi").limit(1).count():
+            return {(r.cid, r.cid2): x for r, x in zip(found, new, strict=True)}
+    if found:
+        raise RuntimeError("class ids can't be told apart")
+    return {}
+
+
 def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Component of every row under links of its text's shingle set.
 
@@ -455,33 +495,38 @@ def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_co
     profile = store.write(docs.mapInArrow(released(_profile(m)), "doc_id long, n long, cid long, cid2 long, point binary"), "profile")
     known = profile.where("doc_id IS NOT NULL AND n > 0")
     classes = known.groupBy("cid", "cid2").agg(F.min("doc_id").alias("rep"), F.first("point").alias("point"))
-    classes = store.write(classes, "classes")
-    if classes.groupBy("cid").count().where("count > 1").limit(1).count():
-        store.drop("profile", "classes")  # two sets share their first 64 bits: hash anew
-        return near_duplicates(docs, Measure(m.width, m.num, m.den, m.seed + 1))
-    work = _Join(docs, classes, m, store)
+    full = store.write(classes, "full")
+    renamed = _renamed(full)
+    if renamed:
+        others = spark.createDataFrame([(*k, v) for k, v in renamed.items()], "cid long, cid2 long, node long")
+        both = known.join(F.broadcast(others), ["cid", "cid2"], "left").withColumn("node", F.coalesce("node", "cid"))
+        known = both.select("doc_id", "n", "node", "point").withColumnRenamed("node", "cid")
+        nodes = full.join(F.broadcast(others), ["cid", "cid2"], "left").select("cid", "cid2", "rep", "point", F.coalesce("node", "cid").alias("node"))
+    else:
+        nodes = full.withColumn("node", F.col("cid"))
+    classes = nodes.select(F.col("node").alias("cid"), "rep", "point")
+    work = _Join(docs, classes, m, store, renamed)
     work.find_shared()
     links = work.verify(work.stars(), "star")
     roots = components(links, store, "star")
     for k in range(NEAREST):
-        links = work.verify(work.across(roots, nearest=True), f"near_{k}")
+        links = work.verify(work.across(roots, True, f"near_{k}"), f"near_{k}")
         if not links.limit(1).count():
             break
         roots = work.join(roots, links, f"near_{k}")
-    links = work.verify(work.across(roots, nearest=False), "rest")
+    links = work.verify(work.across(roots, False, "rest"), "rest")
     one_id = known.select("doc_id", "cid").distinct()
     again = one_id.groupBy("doc_id").agg(F.min("cid").alias("a"), F.count("*").alias("texts")).where("texts > 1")
     again = one_id.join(again, "doc_id").where("cid <> a").select("a", F.col("cid").alias("b"))
     by_class = work.join(roots, links.unionByName(again), "last")
 
-    grouped = classes.select("cid", "cid2", "rep").join(by_class.select(F.col("node").alias("cid"), "root"), "cid", "left")
-    grouped = grouped.withColumn("root", F.coalesce("root", "cid"))
+    grouped = nodes.select("cid", "cid2", "rep", "node").join(by_class, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = grouped.join(smallest, "root").select("cid", "cid2", "component_id")
     rows = profile.select("doc_id", "n", "cid", "cid2").join(named, ["cid", "cid2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     result = store.write(rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")), "result")
-    store.drop("profile", "classes", "shared")
+    store.drop("profile", "full", "shared")
     return result
 
 

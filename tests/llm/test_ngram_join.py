@@ -141,3 +141,49 @@ def test_long_texts(spark):
     for m in (Measure(), Measure(5, 80, 100)):
         got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), m)
         assert sorted(map(tuple, got.collect()), key=str) == brute(rows, m)
+
+
+@pytest.mark.parametrize("m", [Measure(), Measure(5, 80, 100)])
+def test_keys_follow_from_what_sets_hold(m):
+    """Unrelated sets share no keys, however many there are: pairs don't grow with the square of the texts."""
+    r = random.Random(3)
+    for n in (300, 1200):
+        texts = [" ".join(f"w{r.randrange(10**9)}" for _ in range(r.randint(1, 150))) for _ in range(n)]
+        keys, rows = [], []
+        for lo, _, tokens, of, sizes in _sets(pa.array(texts), m):
+            key, row = signatures(tokens, of, sizes, m)
+            keys.append(key)
+            rows.append(row + lo)
+        both = np.unique(np.stack([np.concatenate(keys), np.concatenate(rows).astype(np.uint64)]), axis=1)
+        assert (np.unique(both[0], return_counts=True)[1] == 1).all()
+
+
+def test_classes_that_share_half_their_id(spark, monkeypatch):
+    """Ids of four bits only in their first half: nearly all classes clash, and the result is the same."""
+    import mergewell.llm.ngram_join as module
+
+    m = Measure()
+    texts = corpus(21, 60)
+    rows = [*enumerate(texts), (3, texts[50]), (None, texts[2])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    real = module.class_ids
+
+    def weak(tokens, sizes, seed):
+        one, two = real(tokens, sizes, seed)
+        return one & 15, two
+
+    def under(run):
+        def wrapped(batches):
+            import mergewell.llm.ngram_join as worker
+
+            before, worker.class_ids = worker.class_ids, weak
+            try:
+                yield from run(batches)
+            finally:
+                worker.class_ids = before
+
+        return wrapped
+
+    monkeypatch.setattr(module, "released", under)
+    got = near_duplicates(frame, m)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, m)
