@@ -18,8 +18,8 @@ def run_lookup(spark: SparkSession, folder: str, name: str, limit: int, threshol
 
 def run_pipeline(spark: SparkSession, folder: str, out: str, threshold: float | None) -> int:
     read = lambda split: tuple(entities.read_source(spark, f"{folder}/{split}_source{k}.tsv", f"s{k}") for k in (1, 2, 3))
-    truth = links.link_pairs(entities.read_delimited(spark, f"{folder}/train_ground_truth.tsv"))
-    issues = pipeline.run(read("train"), truth, read("test"), out, threshold).limit(100).collect()
+    truth = entities.read_delimited(spark, f"{folder}/train_ground_truth.tsv")
+    issues = pipeline.run(read("train"), links.link_pairs(truth), read("test"), out, threshold, links.header(truth)).limit(100).collect()
     for issue in issues:
         print(*issue, sep="\t")
     return int(bool(issues))

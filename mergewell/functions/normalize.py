@@ -9,17 +9,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Legal forms that end a name, address words and what they stand for, countries and their names.
-SUFFIXES = "inc incorporated corp corporation llc llp ltd limited co company pvt private gmbh sarl sa bhd plc".split()
-ADDRESS_WORDS = {
-    "st": "street", "str": "street", "rd": "road", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "dr": "drive", "ln": "lane",
-    "pkwy": "parkway", "ct": "court", "pl": "place", "ste": "suite", "apt": "apartment", "bldg": "building", "fl": "floor",
-    "n": "north", "s": "south", "e": "east", "w": "west", "ne": "northeast", "nw": "northwest", "se": "southeast", "sw": "southwest",
-}
+# Fixed values, as results need them: names of countries and their codes.
 COUNTRIES = {
-    "US": ["us", "usa", "u.s.", "united states", "america"], "IN": ["in", "ind", "india", "bharat"], "FR": ["fr", "fra", "france"],
-    "GB": ["uk", "gb", "united kingdom"], "CA": ["ca", "can", "canada"], "DE": ["de", "deu", "germany"], "AU": ["au", "aus", "australia"],
-    "SG": ["sg", "singapore"], "JP": ["jp", "japan"],
+    "us": "US", "usa": "US", "u.s.": "US", "united states": "US", "america": "US",
+    "in": "IN", "ind": "IN", "india": "IN", "bharat": "IN",
+    "fr": "FR", "fra": "FR", "france": "FR",
+    "uk": "GB", "gb": "GB", "united kingdom": "GB",
+    "ca": "CA", "can": "CA", "canada": "CA",
+    "de": "DE", "deu": "DE", "germany": "DE",
+    "au": "AU", "aus": "AU", "australia": "AU",
+    "sg": "SG", "singapore": "SG",
+    "jp": "JP", "japan": "JP",
+}
+# Legal forms that end a name.
+SUFFIXES = [
+    "inc", "incorporated", "corp", "corporation", "llc", "llp", "ltd", "limited",
+    "co", "company", "pvt", "private", "gmbh", "sarl", "sa", "bhd", "plc",
+]
+# Address words and what they stand for.
+ADDRESS_WORDS = {
+    "st": "street", "str": "street",
+    "rd": "road",
+    "ave": "avenue", "av": "avenue",
+    "blvd": "boulevard",
+    "dr": "drive",
+    "ln": "lane",
+    "pkwy": "parkway",
+    "ct": "court",
+    "pl": "place",
+    "ste": "suite",
+    "apt": "apartment",
+    "bldg": "building",
+    "fl": "floor",
+    "n": "north", "s": "south", "e": "east", "w": "west",
+    "ne": "northeast", "nw": "northwest", "se": "southeast", "sw": "southwest",
 }
 
 _ASCII = r"^[\x00-\x7F]*$"
@@ -84,8 +107,7 @@ def normalize_country(c: Column) -> Column:
     """Code of a known country by its name or code, else the text in upper case. Signs are deleted, not spaced."""
     text = strip_accents(stripped(F.lower(blank(c))))
     text = stripped(F.regexp_replace(text, r"(?U)[^\p{L}\p{N}_\s]", ""))
-    names = _lookup({name: code for code, all_names in COUNTRIES.items() for name in all_names})
-    return F.coalesce(F.try_element_at(names, text), F.upper(text))
+    return F.coalesce(F.try_element_at(_lookup(COUNTRIES), text), F.upper(text))
 
 
 def normalize_zip(c: Column) -> Column:

@@ -79,6 +79,36 @@ def char_ngrams(c: Column, n: int = 3) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
 
 
+#: Bits of a character in a coded trigram.
+CODE_BITS = 21
+
+
+def _coded(chars: Column, size: Column) -> Column:
+    """Each three neighbouring characters' code points as one whole number."""
+    codes = F.transform(chars, lambda c: F.ascii(c).cast("long"))
+    join = lambda a, b: F.shiftleft(a, CODE_BITS) + b
+    two = F.zip_with(F.slice(codes, F.lit(1), size), F.slice(codes, F.lit(2), size), join)
+    return F.zip_with(two, F.slice(codes, F.lit(3), size), join)
+
+
+def gram_codes(c: Column) -> Column:
+    """char_ngrams of three characters as whole numbers, in which they take less room and are compared faster. Codes and
+    trigrams have the same order."""
+    padded = F.concat(F.lit("  "), c, F.lit("  "))
+    return F.when(c == "", F.array().cast("array<bigint>")).otherwise(F.array_distinct(_coded(F.split(padded, ""), F.length(padded) - 2)))
+
+
+def gram_code(term: Column) -> Column:
+    """The code of a trigram."""
+    return F.element_at(_coded(F.split(term, ""), F.lit(1)), 1)
+
+
+def coded_gram(code: Column) -> Column:
+    """The trigram of a code."""
+    part = lambda k: F.lpad(F.hex(F.shiftright(code, k * CODE_BITS).bitwiseAND(F.lit((1 << CODE_BITS) - 1))), 8, "0")
+    return F.decode(F.unhex(F.concat(part(2), part(1), part(0))), "UTF-32")
+
+
 def overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
 
@@ -93,10 +123,21 @@ def jaccard(a: Column, b: Column, both: float = 1.0, one: float = 0.0) -> Column
     return _sets(a, b, both, one, overlap(a, b) / F.greatest(F.size(F.array_union(a, b)), F.lit(1)))
 
 
+def set_jaccard(a: Column, b: Column, both: float = 1.0, one: float = 0.0) -> Column:
+    """jaccard of lists without repeats, which needs no union of them."""
+    common, sizes = overlap(a, b), F.size(a) + F.size(b)
+    value = F.coalesce(common / F.nullif(sizes - common, F.lit(0)), F.lit(both))
+    return value if one == 0.0 else F.when((F.size(a) > 0) & (F.size(b) > 0), value).when(sizes > 0, F.lit(one)).otherwise(F.lit(both))
+
+
 def containment(a: Column, b: Column, both: float = 1.0, one: float = 0.0) -> Column:
     """Shared elements of the smaller side's distinct ones."""
-    smaller = F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b)))
-    return _sets(a, b, both, one, overlap(a, b) / F.greatest(smaller, F.lit(1)))
+    return set_containment(F.array_distinct(a), F.array_distinct(b), both, one)
+
+
+def set_containment(a: Column, b: Column, both: float = 1.0, one: float = 0.0) -> Column:
+    """containment of lists without repeats."""
+    return _sets(a, b, both, one, overlap(a, b) / F.greatest(F.least(F.size(a), F.size(b)), F.lit(1)))
 
 
 def tri_state(a: Column, b: Column) -> Column:

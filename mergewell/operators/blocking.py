@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import jaccard
+from ..functions.similarity import set_jaccard
 
 #: Words that make no key.
-STOPWORDS = "the and of in at for on by a an to llc inc ltd corp co company pvt limited".split()
+STOPWORDS = [
+    "the", "and", "of", "in", "at", "for", "on", "by", "a", "an", "to",
+    "llc", "inc", "ltd", "corp", "co", "company", "pvt", "limited",
+]
 #: A key that more targets have is dropped; a record has at most so many candidates.
 MAX_POSTINGS, MAX_CANDIDATES = 1500, 60
 
@@ -65,9 +68,9 @@ def candidate_hits(s1_keys: DataFrame, target_keys: DataFrame, most: int = MAX_P
 
 def pre_scores(hits: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
     """hits with pre_score: two for each shared key and five times the Jaccard similarity of name words."""
-    left = s1.select(F.col("id").alias("s1_id"), F.col("name_tokens").alias("ta"))
-    right = targets.select(F.col("id").alias("target_id"), F.col("name_tokens").alias("tb"))
-    score = 2.0 * F.col("hits") + 5.0 * jaccard(F.col("ta"), F.col("tb"), 0.0, 0.0)
+    left = s1.select(F.col("id").alias("s1_id"), F.array_distinct("name_tokens").alias("ta"))
+    right = targets.select(F.col("id").alias("target_id"), F.array_distinct("name_tokens").alias("tb"))
+    score = 2.0 * F.col("hits") + 5.0 * set_jaccard(F.col("ta"), F.col("tb"), 0.0)
     return hits.join(left, "s1_id").join(right, "target_id").select("s1_id", "target_id", "hits", score.alias("pre_score"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
@@ -21,6 +21,14 @@ class LinkModel:
     intercept: float
     threshold: float = 0.60
 
+    def document(self) -> dict:
+        """The model as plain values, which of_document takes back."""
+        return {"best_threshold": self.threshold, **{k: v for k, v in asdict(self).items() if k != "threshold"}}
+
+    @staticmethod
+    def of_document(value: dict) -> LinkModel:
+        return LinkModel(*(value[k] for k in ("columns", "mean", "std", "weights", "intercept", "best_threshold")))
+
     def logit(self) -> Column:
         z = F.lit(self.intercept)
         for c, m, s, w in zip(self.columns, self.mean, self.std, self.weights, strict=True):
@@ -55,6 +63,18 @@ def fit(df: DataFrame, columns: list[str], strength: float = 1.0, rounds: int =
     return LinkModel(columns, mean, std, fitted.coefficients.toArray().tolist(), float(fitted.intercept))
 
 
+def gradient(df: DataFrame, fitted: LinkModel, strength: float = 1.0) -> dict[str, float]:
+    """The gradient of what fit minimises, by column and "intercept": near 0 where it is well fitted."""
+    _, _, counts = _moments(df, fitted.columns)
+    n = max(1, counts[0] + counts[1])
+    weight = F.when(F.col("label") == 1, n / (2.0 * max(1, counts[1]))).otherwise(n / (2.0 * max(1, counts[0])))
+    error = weight * (1.0 / (1.0 + F.exp(-fitted.logit())) - F.col("label"))
+    sums = [F.sum((F.col(c) - F.lit(m)) / F.lit(s) * error) for c, m, s in zip(fitted.columns, fitted.mean, fitted.std, strict=True)]
+    found = df.agg(*sums, F.sum(error)).first()
+    decay = [w / (strength * n) for w in fitted.weights] + [0.0]
+    return {c: (g or 0.0) / n + d for c, g, d in zip([*fitted.columns, "intercept"], found, decay, strict=True)}
+
+
 def fit_descent(df: DataFrame, columns: list[str], epochs: int = 400, rate: float = 0.05, decay: float = 0.01) -> LinkModel:
     """Full-batch gradient descent; each epoch is one aggregation over the rows, which are kept in memory meanwhile.
 

@@ -1,7 +1,8 @@
 """The registered queries of record linkage over the driver's tables, and the SQL that they are held against.
 
-Driver tables have no businesses, so a few projections stand in for entities: parts in three sources by key, customers and
-suppliers as parties, nations as countries, and whole documents as names.
+Driver tables have no businesses, so a few projections stand in for entities: parts in three sources by key, with addresses,
+places and countries made from their columns, customers and suppliers as parties, nations as countries, and whole documents
+as names.
 """
 
 from __future__ import annotations
@@ -44,12 +45,23 @@ def rounded(c: Column) -> Column:
 
 
 def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts as standard entities: a third each in the sources s1, s2 and s3."""
-    part = table(spark, sf_dir, "part")
-    rows = part.select(
-        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("address"),
-        F.col("p_type").alias("city"), F.col("p_brand").alias("zip"), F.concat(F.lit("s"), (F.col("p_partkey") % 3 + 1).cast("string")).alias("tag"),
-    )
+    """All parts as standard entities: a third each in the sources s1, s2 and s3. Names end with legal forms and other words,
+    addresses have numbers, and every other column is empty, equal or different between parts; category is brand and a class
+    of sizes."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    one_of = lambda values, n: F.get(F.array(*map(F.lit, values)), n.cast("int"))
+    room = F.when(size % 2 == 0, F.concat(F.lit(", Ste "), size.cast("string"))).otherwise(F.lit(""))
+    rows = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("p"), key.cast("string")).alias("id"),
+        F.concat("p_name", one_of(_ENDINGS, key % 4)).alias("name"),
+        F.when(key % 11 == 0, F.lit("")).otherwise(F.concat((key % 40 + 1).cast("string"), F.lit(" N "), "p_type", F.lit(" St"), room)).alias("address"),
+        F.when(key % 7 == 0, F.lit("")).otherwise(F.col("p_type")).alias("city"),
+        one_of(_STATES, size % 4).alias("state"),
+        F.when(key % 5 == 0, F.lit("")).when(size % 5 == 0, F.concat("p_brand", F.lit("9"))).otherwise(F.col("p_brand")).alias("zip"),
+        one_of(_COUNTRIES, size % 5).alias("country"),
+        F.concat("p_brand", F.lit("/"), (size % 6).cast("string")).alias("category"),
+        F.concat(F.lit("s"), (key % 3 + 1).cast("string")).alias("tag"),
+    )
     return entities.standardize(rows, rows["tag"])
 
 
@@ -59,11 +71,10 @@ def part_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of s1 with parts of s2 and s3 of one brand and type."""
+    """Parts of s1 with parts of s2 and s3 of one category."""
     a, b = part_sides(spark, sf_dir)
-    left = a.select(F.col("id").alias("s1_id"), F.col("norm_zip").alias("z"), F.col("norm_city").alias("c"))
-    right = b.select(F.col("id").alias("target_id"), F.col("norm_zip").alias("z"), F.col("norm_city").alias("c"))
-    return left.join(right, ["z", "c"]).select("s1_id", "target_id")
+    left, right = a.select(F.col("id").alias("s1_id"), "category"), b.select(F.col("id").alias("target_id"), "category")
+    return left.join(right, "category").select("s1_id", "target_id")
 
 
 def sided(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,18 +82,32 @@ def sided(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.with_sides(part_pairs(spark, sf_dir), *part_sides(spark, sf_dir))
 
 
-PARTS = """
-    parts AS (SELECT 'p' || p_partkey AS id, p_name AS name, p_type AS address, p_type AS city, p_brand AS zip, 's' || (p_partkey % 3 + 1) AS tag FROM part),
-    norms AS (SELECT id, tag, trim(regexp_replace(regexp_replace(replace(lower(name), '&', ' and '), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS n0,
-                     trim(regexp_replace(regexp_replace(replace(lower(address), '&', ' and '), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS a0,
-                     regexp_replace(upper(trim(zip)), '[^A-Z0-9_]', '', 'g') AS zip FROM parts),
-    ents AS (SELECT id, tag, CASE WHEN regexp_matches(n0, '^({s})( ({s}))*$') THEN n0 ELSE regexp_replace(n0, '( ({s}))+$', '') END AS name, a0 AS city, zip,
-                    array_to_string(list_transform(list_filter(string_split(a0, ' '), lambda t: t <> ''), lambda t: coalesce(MAP {{{m}}}[t], t)), ' ') AS address FROM norms),
+_ENDINGS, _STATES, _COUNTRIES = [" Ltd", " & Sons Co", "", " Trading"], ["WA", "CA", "", "wa"], ["USA", "United States", "India", "", "Brazil"]
+
+
+def _values(strings: list[str]) -> str:
+    return ", ".join(f"'{x}'" for x in strings)
+
+
+ENTITIES = f"""parts AS (SELECT 'p' || p_partkey AS id, p_name || list_value({_values(_ENDINGS)})[1 + p_partkey % 4] AS name,
+        CASE WHEN p_partkey % 11 = 0 THEN '' ELSE (p_partkey % 40 + 1) || ' N ' || p_type || ' St' || CASE WHEN p_size % 2 = 0 THEN ', Ste ' || p_size ELSE '' END END AS address,
+        CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_type END AS city, list_value({_values(_STATES)})[1 + p_size % 4] AS state,
+        CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_size % 5 = 0 THEN p_brand || '9' ELSE p_brand END AS zip, list_value({_values(_COUNTRIES)})[1 + p_size % 5] AS country,
+        p_brand || '/' || (p_size % 6) AS category, 's' || (p_partkey % 3 + 1) AS tag FROM part)"""
+_PLAIN = "trim(regexp_replace(regexp_replace(replace(lower({}), '&', ' and '), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+_CODES = " ".join(f"WHEN '{n}' THEN '{c}'" for n, c in normalize.COUNTRIES.items())
+_FORMS = "|".join(normalize.SUFFIXES)
+_ADDRESS_WORDS = ", ".join(f"'{k}': '{v}'" for k, v in normalize.ADDRESS_WORDS.items())
+PARTS = f"""{ENTITIES},
+    norms AS (SELECT id, tag, category, {_PLAIN.format("name")} AS n0, {_PLAIN.format("address")} AS a0, {_PLAIN.format("city")} AS city, {_PLAIN.format("state")} AS state,
+                     regexp_replace(upper(trim(zip)), '[^A-Z0-9_]', '', 'g') AS zip, CASE lower(country) {_CODES} ELSE upper(country) END AS country FROM parts),
+    ents AS (SELECT *, CASE WHEN regexp_matches(n0, '^({_FORMS})( ({_FORMS}))*$') THEN n0 ELSE regexp_replace(n0, '( ({_FORMS}))+$', '') END AS name,
+                    array_to_string(list_transform(list_filter(string_split(a0, ' '), lambda t: t <> ''), lambda t: coalesce(MAP {{{_ADDRESS_WORDS}}}[t], t)), ' ') AS address FROM norms),
     side AS (SELECT *, list_filter(string_split(name, ' '), lambda t: t <> '') AS nt, list_filter(string_split(address, ' '), lambda t: t <> '') AS aw,
                     CASE WHEN name = '' THEN [] ELSE list_distinct(list_transform(range(1, length(name) + 3), lambda i: substr('  ' || name || '  ', i, 3))) END AS g,
-                    trim(name || ' ' || address || ' ' || city || ' ') AS full_text FROM ents),
-    pairs AS (SELECT a.id AS s1_id, b.id AS target_id, a, b FROM side a JOIN side b ON a.zip = b.zip AND a.city = b.city WHERE a.tag = 's1' AND b.tag <> 's1')
-""".format(s="|".join(normalize.SUFFIXES), m=", ".join(f"'{k}': '{v}'" for k, v in normalize.ADDRESS_WORDS.items()))
+                    trim(name || ' ' || address || ' ' || city || ' ' || country) AS full_text FROM ents),
+    pairs AS (SELECT a.id AS s1_id, b.id AS target_id, a, b FROM side a JOIN side b ON a.category = b.category WHERE a.tag = 's1' AND b.tag <> 's1')
+"""
 """One row for each part: normalised sides; and pairs with both sides as structs."""
 
 
@@ -133,7 +158,7 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.standardize(rows, "s1").select("id", "name", "address", "city")
 
 
-@query("SELECT 'p' || p_partkey AS id, p_name AS name, p_type AS address, p_type AS city, '' AS state, p_brand AS zip, '' AS country, '' AS phone, '' AS category, 's' || (p_partkey % 3 + 1) AS source_tag FROM part")
+@query(f"WITH {ENTITIES} SELECT id, name, address, city, state, zip, country, '' AS phone, category, tag AS source_tag FROM parts")
 def union_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = part_entities(spark, sf_dir)
     one, two, three = (found.where(F.col("source_tag") == f"s{k}") for k in (1, 2, 3))
@@ -168,7 +193,7 @@ def norm_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", normalize.normalize_address(address).alias("norm_address"))
 
 
-@query("SELECT n_nationkey, CASE lower(n_name) {} ELSE upper(trim(regexp_replace(lower(n_name), '[^a-z0-9_\\s]', '', 'g'))) END AS norm_country FROM nation".format(" ".join(f"WHEN '{n}' THEN '{c}'" for c, ns in normalize.COUNTRIES.items() for n in ns if "." not in n)))
+@query("SELECT n_nationkey, CASE lower(n_name) {} ELSE upper(trim(regexp_replace(lower(n_name), '[^a-z0-9_\\s]', '', 'g'))) END AS norm_country FROM nation".format(" ".join(f"WHEN '{n}' THEN '{c}'" for n, c in normalize.COUNTRIES.items() if "." not in n)))
 def norm_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", normalize.normalize_country(F.col("n_name")).alias("norm_country"))
 
@@ -235,10 +260,10 @@ def doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.document_frequencies(table(spark, sf_dir, "documents").select(F.lower(F.col("text")).alias("full_text")))
 
 
-@query(f"""WITH f AS (SELECT term, count(*) AS df FROM (SELECT unnest({_GRAMS.format(t='lower(text)')}) AS term FROM documents) GROUP BY term ORDER BY df DESC, term LIMIT {tfidf.MAX_TERMS})
+@query(f"""WITH f AS (SELECT term, count(*) AS df FROM (SELECT unnest({_GRAMS.format(t='text')}) AS term FROM documents) GROUP BY term ORDER BY df DESC, term LIMIT {tfidf.MAX_TERMS})
     SELECT term, df, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1, 6) AS idf FROM f""")
 def idf_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tfidf.fit_idf(table(spark, sf_dir, "documents").select(F.lower(F.col("text")).alias("full_text")))
+    found = tfidf.fit_idf(table(spark, sf_dir, "documents").select(F.col("text").alias("full_text")))
     return found.select("term", "df", rounded(F.col("idf")).alias("idf"))
 
 
@@ -256,8 +281,8 @@ def part_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PARTS}, {_IDF} SELECT id, round(norm, 6) AS norm FROM norm")
 def tfidf_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = normalize.with_normalised(part_entities(spark, sf_dir)).crossJoin(F.broadcast(tfidf.idf_map(part_idf(spark, sf_dir))))  # one row
-    return found.select("id", rounded(F.sqrt(tfidf.squares(similarity.char_ngrams(F.col("full_text")), F.col("idf")))).alias("norm"))
+    found = tfidf.with_terms(normalize.with_normalised(part_entities(spark, sf_dir)), tfidf.idf_row(part_idf(spark, sf_dir)))
+    return found.select("id", rounded(F.sqrt("norm2")).alias("norm"))
 
 
 def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +320,7 @@ _ADDRESS_SQL = {
     "addr_levenshtein_sim": edit_sql("a.address", "b.address", "0.5"), "addr_token_jaccard": jaccard_sql("a.aw", "b.aw", "0.5", "0.5"),
     "addr_number_match": f"CASE WHEN len({_NUMBERS.format('a')}) = 0 OR len({_NUMBERS.format('b')}) = 0 THEN 0.0 WHEN list_has_any({_NUMBERS.format('a')}, {_NUMBERS.format('b')}) THEN 1.0 ELSE -1.0 END",
 }
-_PLACE_SQL = {"city_match": tri_sql("a.city", "b.city"), "state_match": "0.0", "zip_match": tri_sql("a.zip", "b.zip"), "country_match": "0.0"}
+_PLACE_SQL = {f"{c}_match": tri_sql(f"a.{c}", f"b.{c}") for c in ("city", "state", "zip", "country")}
 _LENGTH_SQL = {
     "len_diff": "abs(length(a.name) - length(b.name))",
     "len_ratio": "CASE WHEN greatest(length(a.name), length(b.name)) = 0 THEN 1.0 ELSE least(length(a.name), length(b.name)) / greatest(length(a.name), length(b.name)) END",
@@ -315,12 +340,12 @@ def chosen_features(spark: SparkSession, sf_dir: str, made: Callable[[DataFrame]
 
 @query(over_pairs(feature_sql(_NAME_SQL)))
 def name_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_features(spark, sf_dir, lambda _: features.name_features(F.col("a.norm_name"), F.col("b.norm_name"), F.col("a.name_tokens"), F.col("b.name_tokens")))
+    return chosen_features(spark, sf_dir, lambda _: features.name_features(*[F.col(f"{x}.{c}") for c in ("norm_name", "name_tokens") for x in "ab"]))
 
 
 @query(over_pairs(feature_sql(_ADDRESS_SQL)))
 def addr_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_features(spark, sf_dir, lambda _: features.address_features(*[F.col(f"{x}.{c}") for c in ("norm_address", "addr_tokens", "addr_numbers") for x in "ab"]))
+    return chosen_features(spark, sf_dir, lambda _: features.address_features(*[F.col(f"{x}.{c}") for c in ("norm_address", "addr_set", "addr_numbers") for x in "ab"]))
 
 
 @query(over_pairs(feature_sql(_PLACE_SQL)))
@@ -343,8 +368,10 @@ def feature_vector_21(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _KEYS = """words AS (SELECT *, list_filter(nt, lambda t: len(t) >= 2 AND NOT list_contains([{}], t)) AS w FROM side),
     firsts AS (SELECT *, w[1] AS t0, list_filter(w, lambda t: len(t) = list_max(list_transform(w, lambda u: len(u))))[1] AS l FROM words),
-    keys AS (SELECT id, tag, nt, unnest(list_filter([CASE WHEN len(name) >= 3 THEN 'PRE::' || left(name, 3) END, CASE WHEN len(t0) >= 3 THEN 'TOK::' || t0 END,
-             CASE WHEN len(zip) >= 3 THEN 'ZIP::' || zip END, CASE WHEN len(w) >= 2 AND len(l) >= 4 THEN 'LONG::' || l END], lambda k: k IS NOT NULL)) AS key FROM firsts)""".format(", ".join(f"'{w}'" for w in blocking.STOPWORDS))
+    kinds AS (SELECT *, unnest([{{k: 'PRE', v: CASE WHEN len(name) >= 3 THEN left(name, 3) END}}, {{k: 'TOK', v: CASE WHEN len(t0) >= 3 THEN t0 END}},
+             {{k: 'ZIP', v: CASE WHEN len(zip) >= 3 THEN zip END}}, {{k: 'LONG', v: CASE WHEN len(w) >= 2 AND len(l) >= 4 THEN l END}}]) AS x FROM firsts),
+    keys AS (SELECT id, tag, nt, x.k || '::' || x.v AS key FROM kinds WHERE x.v IS NOT NULL
+             UNION ALL SELECT id, tag, nt, 'C_' || x.k || '::' || country || '::' || x.v FROM kinds WHERE x.v IS NOT NULL AND country <> '')""".format(_values(blocking.STOPWORDS))
 _HITS = f"""ok AS (SELECT key FROM keys WHERE tag <> 's1' GROUP BY key HAVING count(*) <= {blocking.MAX_POSTINGS}),
     hits AS (SELECT q.id AS s1_id, t.id AS target_id, count(*) AS hits FROM keys q JOIN ok USING (key) JOIN keys t USING (key) WHERE q.tag = 's1' AND t.tag <> 's1' GROUP BY ALL),
     scored AS (SELECT h.*, 2.0 * hits + 5.0 * len(list_intersect(a.nt, b.nt)) / greatest(len(list_distinct(list_concat(a.nt, b.nt))), 1) AS pre_score
@@ -411,7 +438,7 @@ def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.label_pairs(blocking.with_positives(blocking.candidates(a, b), positives, a, b), positives)
 
 
-# Audit: customers as records, their orders as matches.
+# Audit: customers and suppliers as records, customers' orders as matches; so suppliers are missing.
 
 
 def order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,10 +447,14 @@ def order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def custom(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")), table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    parties = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")).unionByName(table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id")))
+    return parties, table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+
+
+_MISSING = "SELECT id FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer UNION ALL SELECT 's' || s_suppkey FROM supplier) WHERE id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders)"
 
 
-@query("SELECT 'missing' AS kind, CAST(c_custkey AS VARCHAR) AS s1_id, '' AS target_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query(f"SELECT 'missing' AS kind, id AS s1_id, '' AS target_id FROM ({_MISSING})")
 def missing_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.missing_entities(order_results(spark, sf_dir), custom(spark, sf_dir)[0])
 
@@ -449,7 +480,7 @@ def self_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ISSUES = f"""SELECT 'invalid_target' AS kind, s1_id, target_id FROM ({_PAIRS}) WHERE target_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)
     UNION ALL SELECT 'self_match', s1_id, target_id FROM ({_PAIRS}) WHERE s1_id = target_id
     UNION ALL SELECT 'duplicate', s1_id, '' FROM (SELECT CAST(o_custkey AS VARCHAR) AS s1_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) WHERE k > 1
-    UNION ALL SELECT 'missing', '', CAST(count(*) AS VARCHAR) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) HAVING count(*) > 0"""
+    UNION ALL SELECT 'missing', '', CAST(count(*) AS VARCHAR) FROM ({_MISSING}) HAVING count(*) > 0"""
 
 
 @query(_ISSUES)
@@ -505,8 +536,7 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = sided(spark, sf_dir)
-    return both.select("s1_id", "target_id", similarity.jaccard(similarity.char_ngrams(F.col("a.norm_name")), similarity.char_ngrams(F.col("b.norm_name"))).alias("score"))
+    return sided(spark, sf_dir).select("s1_id", "target_id", similarity.set_jaccard(F.col("a.name_grams"), F.col("b.name_grams")).alias("score"))
 
 
 @query(f"""WITH {PARTS}, m AS (SELECT s1_id, string_agg(DISTINCT target_id, ',' ORDER BY target_id) AS ids FROM pairs WHERE {jaccard_sql("a.g", "b.g")} >= 0.5 GROUP BY s1_id)
@@ -541,7 +571,23 @@ def lr_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.fit(rows, ["n_chars", "toxic"]).score(rows).select("doc_id", "label", rounded(F.col("score")).alias("score"))
 
 
-@query()
+@query("SELECT unnest(['n_chars', 'toxic', 'intercept']) AS term, 0.0::DOUBLE AS gradient")
+def lr_fit_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient at the fitted weights, which is 0 where they are the best."""
+    rows = length_scores(spark, sf_dir).drop("score")
+    found = model.gradient(rows, model.fit(rows, ["n_chars", "toxic"]))
+    return spark.createDataFrame([(c, round(g, 4) + 0.0) for c, g in found.items()], "term string, gradient double")
+
+
+_SCALED = "x AS (SELECT doc_id, label, (n_chars - avg(n_chars) OVER ()) / stddev_pop(n_chars) OVER () AS a, (toxic - avg(toxic) OVER ()) / stddev_pop(toxic) OVER () AS b FROM s)"
+
+
+@query(f"""WITH RECURSIVE {_SCORED}, {_SCALED}, c AS (SELECT count(*) AS n, count(*) FILTER (label <> 1) / count(*) FILTER (label = 1) AS weight FROM s),
+    w AS (SELECT 0 AS k, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS w0
+          UNION ALL SELECT k + 1, wa - 0.05 * (sum(a * e) / n + 0.01 * wa), wb - 0.05 * (sum(b * e) / n + 0.01 * wb), w0 - 0.05 * sum(e) / n
+          FROM (SELECT w.*, n, a, b, (1 / (1 + exp(-greatest(-30, least(30, w0 + wa * a + wb * b)))) - label) * CASE WHEN label = 1 THEN weight ELSE 1 END AS e FROM w, x, c WHERE k < 400)
+          GROUP BY k, wa, wb, w0, n)
+    SELECT doc_id, label, round(1 / (1 + exp(-(w0 + wa * a + wb * b))), 6) AS score FROM x, w WHERE k = 400""")
 def lr_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = length_scores(spark, sf_dir).drop("score")
     return model.fit_descent(rows, ["n_chars", "toxic"]).score(rows).select("doc_id", "label", rounded(F.col("score")).alias("score"))

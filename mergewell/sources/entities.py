@@ -10,15 +10,15 @@ from ..functions.normalize import stripped
 
 #: Names that a column may have in a source, the preferred one first.
 SYNONYMS = {
-    "id": "id source1_id source2_id source3_id record_id business_id s1_id s2_id s3_id",
-    "name": "name business_name company_name title legal_name store_name",
-    "address": "address street_address street addr location address_line_1",
-    "city": "city town locality municipality",
-    "state": "state province region state_code",
-    "zip": "zip postal_code zipcode postcode pincode",
-    "country": "country country_code cntry nation iso_country",
-    "phone": "phone phone_number telephone tel contact",
-    "category": "category categories business_category type industry",
+    "id": ["id", "source1_id", "source2_id", "source3_id", "record_id", "business_id", "s1_id", "s2_id", "s3_id"],
+    "name": ["name", "business_name", "company_name", "title", "legal_name", "store_name"],
+    "address": ["address", "street_address", "street", "addr", "location", "address_line_1"],
+    "city": ["city", "town", "locality", "municipality"],
+    "state": ["state", "province", "region", "state_code"],
+    "zip": ["zip", "postal_code", "zipcode", "postcode", "pincode"],
+    "country": ["country", "country_code", "cntry", "nation", "iso_country"],
+    "phone": ["phone", "phone_number", "telephone", "tel", "contact"],
+    "category": ["category", "categories", "business_category", "type", "industry"],
 }
 ENTITY = [*SYNONYMS, "source_tag"]
 #: Cells that mean nothing, in columns other than id.
@@ -30,7 +30,7 @@ def resolve(columns: list[str]) -> dict[str, str | None]:
     """The source's column for each standard one. Header names fold to lower case and underscores; of those that fold to
     the same the last counts. Without an id column, the first column is the id."""
     folded = {c.lower().strip().replace(" ", "_"): c for c in columns}
-    found = {k: next((folded[s] for s in names.split() if s in folded), None) for k, names in SYNONYMS.items()}
+    found = {k: next((folded[s] for s in names if s in folded), None) for k, names in SYNONYMS.items()}
     if found["id"] is None and columns:
         found["id"] = columns[0]
     return found
@@ -52,6 +52,12 @@ def _header(spark: SparkSession, path: str, encoding: str, sep: str) -> list[str
     return first.columns
 
 
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell may go on in the next line: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return bool(spark.read.text(path).where(quotes % 2 == 1).limit(1).count())
+
+
 def is_utf8(spark: SparkSession, path: str) -> bool:
     """Whether all lines are valid UTF-8. Spark's reader would put replacement signs instead of failing."""
     return not spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
@@ -60,8 +66,9 @@ def is_utf8(spark: SparkSession, path: str) -> bool:
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """A delimited file with a header, all columns strings without nulls, cells stripped.
 
-    Rows with too many fields are dropped, rows with too few are padded with "". A file that isn't UTF-8 is read as Latin-1
-    and without quotes. A missing file raises an AnalysisException.
+    Rows with too many fields are dropped, rows with too few are padded with "". Quoted cells may have line breaks; only a
+    file that seems to have some is read as a whole by one task. A file that isn't UTF-8 is read as Latin-1 and without
+    quotes. A missing file raises an AnalysisException.
     """
     utf8 = is_utf8(spark, path)
     encoding = "UTF-8" if utf8 else "ISO-8859-1"
@@ -69,7 +76,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _ROW]])
     reader = spark.read.schema(schema).option("sep", sep).option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
     reader = reader.option("columnNameOfCorruptRecord", _ROW).option("escape", '"').option("enforceSchema", True)
-    rows = reader.option("quote", '"' if utf8 else "").csv(path)
+    rows = reader.option("quote", '"' if utf8 else "").option("multiLine", utf8 and has_line_breaks(spark, path)).csv(path)
     bare = F.regexp_replace(F.col(_ROW), '"[^"]*"', "") if utf8 else F.col(_ROW)
     fields = F.size(F.split(bare, sep.replace("|", r"\|"), -1))
     kept = rows.where(F.col(_ROW).isNull() | (fields <= len(columns)))

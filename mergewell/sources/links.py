@@ -20,6 +20,11 @@ def cell_ids(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"[,;|]"), stripped), _known)
 
 
+def header(df: DataFrame) -> tuple[str, str]:
+    """The names that results carry: those of the first two columns, or the usual ones where there is only one."""
+    return (df.columns[0], df.columns[1]) if len(df.columns) > 1 else ("source1_id", "matched_id")
+
+
 def link_lists(df: DataFrame) -> DataFrame:
     """(s1_id, target_ids) of every row with an id: two columns hold a list, three or more an id each, one holds none."""
     first, *rest = [df[f"`{c}`"] for c in df.columns]

@@ -13,13 +13,16 @@ def formatted_scores(scored: DataFrame) -> DataFrame:
     return scored.select(F.col("s1_id").alias("source1_id"), F.col("target_id").alias("candidate_id"), F.format_string("%.5f", F.col("score").cast("double")).alias("score"))
 
 
-def match_results(s1: DataFrame, scored: DataFrame, threshold: float) -> DataFrame:
-    """(source1_id, matched_id): every record of s1 once, with its sorted distinct targets of at least the threshold,
-    comma-joined, or ""."""
+def match_results(s1: DataFrame, scored: DataFrame, threshold: float, names: tuple[str, str] = ("source1_id", "matched_id"), position: str | None = None) -> DataFrame:
+    """Two columns of these names: every record of s1 once, with its sorted distinct targets of at least the threshold,
+    comma-joined, or "". position: a column of s1 by which rows are put in order; of a repeated record its first counts."""
     kept = scored.where(F.col("score") >= threshold)
     ids = kept.groupBy("s1_id").agg(F.array_join(F.sort_array(F.collect_set("target_id")), ",").alias("matched_id"))
-    records = s1.select(F.col("id").alias("s1_id")).distinct()
-    return records.join(ids, "s1_id", "left").select(F.col("s1_id").alias("source1_id"), F.coalesce("matched_id", F.lit("")).alias("matched_id"))
+    place = F.min(position) if position else F.lit(0)
+    records = s1.groupBy(F.col("id").alias("s1_id")).agg(place.alias("place"))
+    out = records.join(ids, "s1_id", "left")
+    out = out.orderBy("place") if position else out
+    return out.select(F.col("s1_id").alias(names[0]), F.coalesce("matched_id", F.lit("")).alias(names[1]))
 
 
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -33,5 +36,10 @@ def write_json(spark: SparkSession, value: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(value, indent=2),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def read_json(spark: SparkSession, path: str) -> dict:
+    """A document that write_json wrote."""
+    return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+
+
 def metrics_document(history: list[dict], best: dict) -> dict:
     return {"best_threshold": best["threshold"], "validation_metrics": best, "history": history}

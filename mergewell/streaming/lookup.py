@@ -23,11 +23,16 @@ def name_keys(df: DataFrame, id_col: str) -> DataFrame:
     return named.select(F.explode(key_array(F.col("norm_name"), tokens(F.col("norm_name")), none, none)).alias("key"), F.col(id_col).alias("id"), "norm_name", "name")
 
 
-def match_names(names: DataFrame, records: DataFrame, limit: int = 5, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+def record_keys(records: DataFrame) -> DataFrame:
+    """The keys of records (id, name) that few enough of them share."""
+    return prune_keys(name_keys(records, "id"), MAX_POSTINGS)
+
+
+def match_names(names: DataFrame, records: DataFrame, limit: int = 5, threshold: float = DEFAULT_THRESHOLD, keys: DataFrame | None = None) -> DataFrame:
     """(query_id, query, business_name, score, is_match): for each name (query_id, name) its best records (id, name) among
     those that share a key with it. Keys of very many records are left out; a name that has none of the other records' keys
-    is held against all records, as in a lookup. A blank name finds nothing."""
-    theirs = prune_keys(name_keys(records, "id"), MAX_POSTINGS)
+    is held against all records, as in a lookup. A blank name finds nothing. keys: record_keys(records), if they are at hand."""
+    theirs = record_keys(records) if keys is None else keys
     mine = name_keys(names, "query_id").select("key", F.col("id").alias("query_id"), F.col("norm_name").alias("q"), F.col("name").alias("query"))
     pairs = mine.join(theirs, "key").groupBy("query_id", "id").agg(*[F.first(c).alias(c) for c in ("q", "query", "norm_name", "name")])
     asked = names.where(F.col("name").rlike(r"\S")).select("query_id", normalize_name(F.col("name")).alias("q"), F.col("name").alias("query"))
@@ -40,5 +45,7 @@ def match_names(names: DataFrame, records: DataFrame, limit: int = 5, threshold:
 
 
 def stream_lookup(names: DataFrame, records: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, limit: int = 5) -> StreamingQuery:
-    """Runs match_names on every batch of a stream of names, and hands the result and the batch's number to sink."""
-    return names.writeStream.foreachBatch(lambda batch, number: sink(match_names(batch, records, limit), number)).option("checkpointLocation", checkpoint).start()
+    """Runs match_names on every batch of a stream of names, and hands the result and the batch's number to sink. Records'
+    keys are made once and kept in memory or on disk for all batches."""
+    keys = record_keys(records).persist()
+    return names.writeStream.foreachBatch(lambda batch, number: sink(match_names(batch, records, limit, keys=keys), number)).option("checkpointLocation", checkpoint).start()
