@@ -1,7 +1,9 @@
 """Toxicity: a classifier of word features that is regularised by counterfactuals.
 
-Identity terms in labelled sentences are swapped for others of their kind, and the change of score is penalised with the
-training loss. Mentions of a group then carry no weight of their own, which reduces false positives on neutral ones.
+Counterfactuals of a labelled sentence have its label. Where a sentence has identity terms, they are swapped for others of
+their kind; where it has none, a neutral mention of one is put in, and that one is swapped. Changes of score between a
+sentence and its counterfactuals are penalised with the training loss. Mentions of a group then carry no weight of their own,
+neither as words nor by the beginnings that they share with others, which reduces false positives on neutral ones.
 
 Features are the distinct words of a text and their first bytes, hashed. The model is trained by the driver on a bounded sample
 of labelled rows; every text is scored as a whole.
@@ -9,6 +11,7 @@ of labelled rows; every text is scored as a whole.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import bounded_batches
+from .store import Store, bounded_batches
 from .textvec import ALNUM, U64, Words, distinct_by_text, give_back, mix, pieces, ragged, released
 
+log = logging.getLogger(__name__)
+
 #: Identity terms; those of one line stand for each other.
 IDENTITIES = [
     "muslim muslims christian christians jewish jews hindu hindus buddhist buddhists atheist atheists catholic catholics",
@@ -45,7 +50,8 @@ class Training:
     """sample: the most labelled rows that are learnt from, those first by a hash of their id. features: hashed features.
     rows_each: a feature is learnt for each so many rows. least: rows that a learnt feature is in, and no fewer than one in
     `rare`. decay: the weight of squared weights. swapped: that of score changes under swaps. swaps: counterfactuals of a
-    text."""
+    text. most: the features of all learnt rows together, so that the driver's memory is bounded however long texts are;
+    rows beyond it, by the hash of their features, are not learnt from."""
 
     sample: int = 12_000
     features: int = 1 << 18
@@ -55,6 +61,7 @@ class Training:
     decay: float = 0.3
     swapped: float = 1.0
     swaps: int = 3
+    most: int = 20_000_000
     rounds: int = 40
 
 
@@ -108,21 +115,43 @@ def counterfactuals(every: np.ndarray, sets: list[np.ndarray], swaps: int) -> li
     return out
 
 
+def mentions(lines: list[list[list[int]]], own: np.ndarray, seed: int, swaps: int) -> list[list[int]]:
+    """Score changes of a text without identity terms, whose features are own, in ascending order: between it and itself with
+    one more word, an identity term, and between it with that term and with another of its kind. lines: terms' features."""
+    chosen = []
+    for s in range(swaps):
+        line = lines[(seed >> 7 * s) % len(lines)]
+        first = (seed >> 5 * s + 3) % len(line)
+        chosen.append((line[first], line[(first + 1 + (seed >> 3 * s + 11) % (len(line) - 1)) % len(line)]))
+    wanted = np.array([f for pair in chosen for term in pair for f in term], np.int64)
+    at = np.minimum(np.searchsorted(own, wanted), max(0, len(own) - 1))
+    there = set(wanted[own[at] == wanted].tolist()) if len(own) else set()
+    out = []
+    for one, other in chosen:
+        out.append([-f - 1 for f in one if f not in there])
+        out.append([f + 1 for f in one if f not in there and f not in other] + [-f - 1 for f in other if f not in there and f not in one])
+    return [x for x in out if x]
+
+
 def _sampled(t: Training) -> Callable:
     """Features of labelled texts, and of their counterfactuals: +f for what the text alone has, -f for the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = identity_sets()
         marked = np.unique(np.concatenate([line[:, 0] for line in sets]))
+        lines = [[np.unique(row[row != 0] % U64(t.features)).astype(np.int64).tolist() for row in line] for line in sets]
         for batch in batches:
             for lo, hi, feature, sizes, words in _features(batch.column(1), t.features):
                 near = np.minimum(np.searchsorted(marked, words.hashes), len(marked) - 1)
-                has = np.unique(words.text_of[marked[near] == words.hashes])
+                has = set(words.text_of[marked[near] == words.hashes].tolist())
                 changes: list[list[list[int]]] = [[] for _ in range(hi - lo)]
-                for r in has.tolist():
-                    mine = slice(words.first[r], words.first[r + 1])
-                    every = word_features(words)[mine]
-                    own = np.unique(every[every != 0] % U64(t.features)).astype(np.int64)
+                begin = np.concatenate([[0], np.cumsum(sizes)])
+                for r in range(hi - lo):
+                    own = feature[begin[r] : begin[r + 1]]
+                    if r not in has:
+                        changes[r] = mentions(lines, own, int(own.sum()) * 0x9E3779B97F4A7C15 % (1 << 61), t.swaps)
+                        continue
+                    every = word_features(words)[words.first[r] : words.first[r + 1]]
                     for x in counterfactuals(every, sets, t.swaps):
                         new = np.unique(x[x != 0] % U64(t.features)).astype(np.int64)
                         changes[r].append([*(np.setdiff1d(own, new) + 1).tolist(), *(-np.setdiff1d(new, own) - 1).tolist()])
@@ -217,23 +246,37 @@ def _lbfgs(cost: Callable, w: np.ndarray, rounds: int, memory: int = 8) -> np.nd
 
 
 def held_out(doc_id: Column) -> Column:
-    """Rows that labels aren't learnt from."""
+    """Rows that labels aren't learnt from; a null id counts as empty text, whose remainder is 0."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
-    """Weights from labelled rows that aren't held out. Repeated labels of an id count as their mean; null ones as none."""
-    bounded_batches(docs.sparkSession)
+def examples(docs: DataFrame, labels: DataFrame, t: Training) -> tuple[np.ndarray, list, list[list]]:
+    """Labels, features and counterfactual changes of the rows that are learnt from, which aren't held out.
+
+    Repeated labels of an id count as their mean; null ones as none. A bounded sample: see Training."""
+    spark = docs.sparkSession
+    store = Store(spark, "toxicity")
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(t.sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # at most t.sample rows
     rows = texts.select("toxic", "text").mapInArrow(released(_sampled(t)), "toxic double, features array<int>, changes array<array<int>>")
-    # An id may have several rows; so many at most are learnt from.
-    found = rows.orderBy(F.xxhash64("features"), "toxic").limit(2 * t.sample).toArrow().combine_chunks()
+    rows = store.write(rows.withColumn("place", F.xxhash64("features")), "examples")
+    # An id may have several rows; so many at most are learnt from, and so many as have the most features together.
+    sizes = rows.select("place", "toxic", F.size("features").alias("n")).orderBy("place", "toxic").limit(2 * t.sample).toArrow()
+    held = int(np.searchsorted(np.cumsum(np.asarray(sizes["n"], np.int64)), t.most, side="right"))
+    found = rows.orderBy("place", "toxic").limit(held).drop("place").toArrow().combine_chunks()
     features = found["features"].combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32()))
     offsets, flat = np.asarray(features.offsets), np.asarray(features.values)
-    return fit(found["toxic"].to_numpy(), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], found["changes"].to_pylist(), t)
+    changes = found["changes"].to_pylist()
+    store.drop("examples")
+    log.info("%s labelled rows, %s counterfactual pairs", found.num_rows, sum(map(len, changes)))
+    return found["toxic"].to_numpy(), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], changes
+
+
+def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
+    """Weights from labelled rows that aren't held out."""
+    return fit(*examples(docs, labels, t), t)
 
 
 def _scorer(weights, n: int) -> Callable:  # noqa: ANN001
@@ -263,12 +306,17 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataF
 
 
 def classify(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of docs. Null and empty texts get the intercept's score."""
+    """(doc_id, held_out, score, predicted) of every row of docs, and of no others.
+
+    Null and empty texts get the intercept's score, and rows that repeat get equal ones. A null id is not held out and has no
+    label. Without labels of both kinds, or without any, all scores are the labels' share. Only doc_id and text are looked at,
+    whatever other columns are called."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels, t))
     return scored.select(F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, t: Training = Training(), threshold: float = 0.3) -> DataFrame:
-    """docs without the rows whose score reaches the threshold."""
+    """docs without the rows whose score reaches the threshold. Null and empty texts stay, as their score is the intercept's,
+    unless most labels are toxic; rows that repeat stay or go together; columns may have any names."""
     kept = score(docs, train(docs, labels, t)).where(F.col("score") < threshold)
     return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

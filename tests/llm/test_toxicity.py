@@ -1,10 +1,11 @@
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from mergewell.llm.textvec import ALNUM, U64, Words
-from mergewell.llm.toxicity import Training, _features, _words_of, classify, counterfactuals, fit, identity_sets, keep_clean, score, train, word_features
+from mergewell.llm.toxicity import Training, _features, _words_of, classify, counterfactuals, examples, fit, identity_sets, keep_clean, mentions, score, telling, train, word_features
 
 WORDS = [f"{a}{b}" for a in "ka lo mi ren sa tu ve".split() for b in "lin mor nesto pad ruk".split()]
 RUDE = ["grotty", "vilenessa", "vilenessum"]
@@ -94,3 +95,95 @@ def test_one_label_or_none(spark):
     assert keep_clean(table, marks.limit(0)).count() == 30
     assert keep_clean(table, marks).columns == table.columns
     assert classify(table.limit(0), marks).count() == 0
+
+
+def plain_features(text, n):
+    """A text's distinct words and their beginnings, hashed one by one."""
+    out = set()
+    for word in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+        out |= {int(x) % n for x in word_features(_words_of(word))[0].tolist() if x}
+    return out
+
+
+def test_scores_against_a_loop(spark):
+    """Every score is the logistic function of the weights of a text's features, read one by one."""
+    docs, labels = corpus(200, 5)
+    table, marks = frames(spark, [*docs, (900, None), (901, ""), (902, "Été grotty, grot")], labels)
+    w = train(table, marks, Training())
+    rows = classify(table, marks).collect()
+    texts = dict([*docs, (900, None), (901, ""), (902, "Été grotty, grot")])
+    for r in rows:
+        z = w[-1] + sum(w[f] for f in plain_features(texts[r.doc_id], len(w) - 1))
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_weights_are_the_best_ones():
+    """The gradient of the whole cost, put down plainly, is near 0 at the fitted weights."""
+    r = random.Random(8)
+    n, t = 60, Training(features=50, rows_each=1, least=1, decay=0.7, swapped=2.0, rounds=500)
+    features = [sorted(r.sample(range(50), r.randint(1, 12))) for _ in range(n)]
+    y = np.array([float(r.random() < (0.8 if 3 in f or 9 in f else 0.2)) for f in features])
+    changes = [[[f + 1 for f in r.sample(range(50), 2)] + [-r.randrange(50) - 1] for _ in range(2)] for _ in range(n)]
+    w = fit(y, features, changes, t)
+    kept = telling(np.concatenate(features), np.concatenate([[y[i]] * len(f) for i, f in enumerate(features)]), y, t)
+    share = {1.0: n / (2 * y.sum()), 0.0: n / (2 * (n - y.sum()))}
+    g = t.decay * w[:-1]
+    intercept = 0.0
+    for f, label in zip(features, y, strict=True):
+        error = share[label] * (1 / (1 + np.exp(-(w[-1] + sum(w[k] for k in f)))) - label)
+        intercept += error
+        for k in f:
+            g[k] += error
+    for change in (c for own in changes for c in own):
+        gap = sum(np.sign(c) * w[abs(c) - 1] for c in change if kept[abs(c) - 1])
+        for c in change:
+            g[abs(c) - 1] += t.swapped * gap * np.sign(c)
+    assert kept.any() and np.abs(g[kept]).max() < 0.02 and abs(intercept) < 0.02 and not w[:-1][~kept].any()
+
+
+def gap(w, t):
+    """The largest change of a logit that one more word, an identity term, makes."""
+    return max(abs(sum(w[int(h)] for h in np.unique(row[row != 0] % U64(t.features)))) for line in identity_sets() for row in line)
+
+
+def test_neutral_mentions_without_identity_terms_in_the_texts(spark):
+    """No text has an identity term, as in large made-up corpora; words that begin alike would still give them weight."""
+    r = random.Random(11)
+    docs, labels = [], []
+    for i in range(900):
+        toxic = r.random() < 0.3
+        words = [r.choice(WORDS) for _ in range(r.randint(5, 40))]
+        if r.random() < (0.7 if toxic else 0.1):
+            words.append(r.choice(["musliorab", "muslinesto", "refugalin"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    table, marks = frames(spark, docs, labels)
+    t = Training()
+    y, features, changes = examples(table, marks, t)
+    assert sum(map(len, changes)) >= 5 * len(y) and all(changes)
+    before, after = (gap(fit(y, features, changes, Training(swapped=s)), t) for s in (0.0, t.swapped))
+    assert before > 0.5 and after < 0.2 * before
+
+
+def test_mentions():
+    lines = [[[1, 5, 9], [2, 6], [3]]]
+    out = mentions(lines, np.array([5, 6]), 0, 1)
+    assert out == [[-2, -10], [2, 10, -3]]
+    assert mentions(lines, np.zeros(0, np.int64), 0, 1) == [[-2, -6, -10], [2, 6, 10, -3, -7]]
+
+
+def test_the_sample_is_bounded(spark):
+    docs, labels = corpus(300, 6)
+    y, features, _ = examples(*frames(spark, docs, labels), Training(most=2000))
+    assert 0 < sum(map(len, features)) <= 2000 and len(y) == len(features) < 200
+
+
+def test_odd_tables(spark):
+    """Empty tables, repeated rows and ids, a very long text, and columns that are called like results."""
+    schema = "doc_id long, text string, score string, row string, toxic string, features string"
+    rows = [(1, "grotty " * 300_000, "a", "b", "c", "d"), (1, "kalin", "a", "b", "c", "d"), (None, None, None, None, None, None)] * 2
+    docs, labels = spark.createDataFrame(rows, schema), spark.createDataFrame([(1, 1), (1, 0), (2, None)], "doc_id long, toxic int")
+    assert len({r.score for r in classify(docs, labels).where("doc_id IS NULL").collect()}) == 1 and classify(docs, labels).count() == 6
+    none = labels.limit(0)
+    assert keep_clean(docs, none).columns == docs.columns and keep_clean(docs, none).count() == 6
+    assert classify(docs.limit(0), none).count() == 0 and keep_clean(docs.limit(0), none).count() == 0
