@@ -7,13 +7,15 @@ root of a Merkle tree over them. Reading verifies every chunk and every root.
 Files, under one folder: store/kind=chunk (digest, ids, little-endian, of `width` bytes each), store/kind=doc (doc_id,
 n_tokens, recipe, root) and index (doc_id ascending, start). One pass over the documents makes chunks and recipes, one
 shuffle drops copies of chunks. Texts are cut into segments that tokens never cross; each distinct one is encoded once, as long
-as a worker remembers it. With `added`, texts have the ids of a plain encode call, which finds the tokenizer file's added
+as a worker remembers it, and its bytes are compared wherever its ids are used again. Tokenizer files whose rules aren't known
+to allow such cuts encode whole texts. With `added`, texts have the ids of a plain encode call, which finds the tokenizer file's added
 tokens in them; without it, special ones are kept as ordinary text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -80,6 +82,29 @@ def segment_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
+def allows_cuts(rules: dict) -> bool:
+    """Whether segment_starts holds for a tokenizer file: byte-level pairs, split by the usual pattern, and nothing else that
+    looks beyond a segment."""
+    split = rules.get("pre_tokenizer") or {}
+    model = rules.get("model") or {}
+    byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    bare = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk"))
+    return bool(byte_level and bare) and not any(rules.get(k) for k in ("normalizer", "truncation", "padding"))
+
+
+class _Growing:
+    """An array that is added to."""
+
+    def __init__(self, kind: type):
+        self.values, self.used = np.zeros(1 << 18, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        while self.used + len(more) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        self.values[self.used : self.used + len(more)] = more
+        self.used += len(more)
+
+
 class Encoder:
     """Encodes whole texts by the tokenizers library, each distinct segment once as long as it is remembered."""
 
@@ -93,34 +118,57 @@ class Encoder:
         # The longest of those at one place counts, as in the library.
         self.pattern = re.compile(b"|".join(re.escape(x) for x in sorted((t.content.encode() for t in tokens), key=len, reverse=True))) if tokens else None
         self.literal = len({t.normalized for t in tokens}) <= 1 and not any(t.single_word or t.lstrip or t.rstrip for t in tokens)
+        with open(form.tokenizer, encoding="utf-8") as file:
+            self.cuts = allows_cuts(json.load(file))
         self._forget()
 
     def _forget(self) -> None:
-        # Hashes of known segments, ascending; where each one's ids begin, and how many they are.
+        # Hashes of known segments, ascending; where each one's ids and bytes begin, and how many they are.
         self.known, self.begin, self.size = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.text_begin, self.text_size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids, self.texts = _Growing(np.uint32), _Growing(np.uint8)
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids one after the other, and how many each has."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
         """New segments, by ascending hashes."""
-        sizes = np.zeros(len(texts), np.int32)
-        before = self.used
+        counts = []
+        ids_before, bytes_before = self.ids.used, self.texts.used
         for s in range(0, len(texts), 4096):
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts[s : s + 4096], add_special_tokens=False)]
-            sizes[s : s + 4096] = [len(x) for x in lists]
-            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes[s : s + 4096].sum()))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.used += len(flat)
+            flat, sizes = self._encoded([x.decode() for x in texts[s : s + 4096]])
+            self.ids.add(flat)
+            counts.append(sizes)
+        self.texts.add(np.frombuffer(b"".join(texts), np.uint8))
+        sizes, lengths = np.concatenate(counts), np.array([len(x) for x in texts], np.int64)
         at = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, at, hashes)
-        self.begin = np.insert(self.begin, at, before + np.cumsum(sizes, dtype=np.int64) - sizes)
+        self.begin = np.insert(self.begin, at, ids_before + np.cumsum(sizes) - sizes)
         self.size = np.insert(self.size, at, sizes)
+        self.text_begin = np.insert(self.text_begin, at, bytes_before + np.cumsum(lengths) - lengths)
+        self.text_size = np.insert(self.text_size, at, lengths)
+
+    def _others(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which segments, known as those numbered at, have other bytes than these."""
+        sizes = ends - starts
+        other = self.text_size[at] != sizes
+        where = np.arange(len(data), dtype=np.int64)
+        where += np.repeat(np.where(other, 0, self.text_begin[at]) - starts, sizes)
+        np.minimum(where, max(0, self.texts.used - 1), out=where)
+        wrong = np.flatnonzero(self.texts.values[where] != data)
+        if len(wrong):
+            other[np.searchsorted(starts, wrong, side="right") - 1] = True
+        return np.flatnonzero(other)
 
     def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Segments' starts. An added token is a segment of its own, and texts around it are cut as if they were whole texts.
 
         Where a token's place depends on what is around it, texts that have one are not cut at all."""
+        if not self.cuts:
+            return offsets[:-1][np.diff(offsets) > 0]
         raw = data.tobytes()
         if self.pattern is None or self.pattern.search(raw) is None:
             return segment_starts(data, offsets)
@@ -145,16 +193,25 @@ class Encoder:
             new = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
             if len(new):
                 raw = data.tobytes()
-                self._learn(distinct[new], [raw[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+                self._learn(distinct[new], [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
                 at = np.searchsorted(self.known, distinct)
-            begin, size = self.begin[at][back], self.size[at][back].astype(np.int64)
+            at = at[back]
+            begin, size = self.begin[at], self.size[at].astype(np.int64)
+            other = self._others(data, starts, ends, at)
+            if len(other):  # equal hashes of different bytes: these are encoded each time
+                raw = data.tobytes()
+                before = self.ids.used
+                flat, size[other] = self._encoded([raw[a:b].decode() for a, b in zip(starts[other].tolist(), ends[other].tolist(), strict=True)])
+                begin[other] = before + np.cumsum(size[other]) - size[other]
+                self.ids.add(flat)
+                self.ids.used = before
         else:
             begin = size = np.zeros(0, np.int64)
         of = np.searchsorted(starts, offsets)  # the first segment of each text
         counts = np.diff(np.concatenate([[0], np.cumsum(size)])[of])
         total = int(size.sum())
         place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)
-        ids = self.ids[place]
+        ids = self.ids.values[place]
         if self.form.end is not None:
             ids, counts = np.insert(ids, np.cumsum(counts), self.form.end), counts + 1
         return ids, counts.astype(np.int64) if n else np.zeros(0, np.int64)
@@ -336,7 +393,9 @@ def _recipes(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def read_summary(spark: SparkSession, store: Store, form: Format) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files. Damaged or missing chunks fail.
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files. Damaged, missing and swapped chunks, and roots
+    that don't belong to their recipes, make the query fail. Rows that repeat, null ids and empty texts come back as written;
+    an empty store has none.
 
     Each chunk is read once; its ids go no further than its crc32, from which documents' are put together."""
     chunks = _stored(spark, store).where("kind = 'chunk'").select(F.col("route").alias("digest"), "ids").mapInArrow(released(_verified(form.width)), "digest binary, n long, crc long")
@@ -369,7 +428,8 @@ def read_documents(spark: SparkSession, store: Store, form: Format) -> DataFrame
 
 
 def store_round_trip(docs: DataFrame, form: Format) -> DataFrame:
-    """Write docs to a store in a folder of its own and read its summary back."""
+    """Write docs to a store in a folder of its own and read its summary back: see write_store and read_summary for null and
+    repeated ids, null and empty texts and empty tables. Only doc_id and text are looked at."""
     store = Store(docs.sparkSession, "tokens")
     write_store(docs, store, form)
     return read_summary(docs.sparkSession, store, form)

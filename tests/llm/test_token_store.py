@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -9,7 +10,8 @@ from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from mergewell.llm import queries
 from mergewell.llm.store import Store
-from mergewell.llm.token_store import Encoder, Format, chunk_ends, joined_crc, merkle_root, read_documents, read_summary, write_store
+from mergewell.llm import token_store
+from mergewell.llm.token_store import Encoder, Format, allows_cuts, chunk_ends, joined_crc, merkle_root, read_documents, read_summary, write_store
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -128,3 +130,75 @@ def test_chunks_follow_content():
     assert len(one) in ends and sum(map(len, chunks)) == len(ids) and max(map(len, chunks)) <= FORM.most
     assert len(set(chunks)) < 0.6 * len(chunks)
     assert merkle_root([b"a", b"b", b"c"]) != merkle_root([b"a", b"c", b"b"])
+
+
+def encoded(encoder, texts):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ids, counts = encoder.encode(data, np.cumsum([0, *(len(t.encode()) for t in texts)]))
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_segments_with_equal_hashes_are_told_apart(monkeypatch):
+    """Hashes of three bits only: nearly all segments clash, and ids stay right."""
+    real = token_store.span_hashes
+    monkeypatch.setattr(token_store, "span_hashes", lambda data, lengths: real(data, lengths) & np.uint64(7))
+    e, r = Encoder(Format(PATH, added=True)), random.Random(2)
+    for _ in range(20):
+        texts = [" ".join(r.choice(["some", "words", "of", "text,", "Ünder", "test.", "<|endoftext|>", "", "x" * 50]) for _ in range(r.randint(0, 30))) for _ in range(4)]
+        assert encoded(e, texts) == [[*PLAIN.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    rules = json.loads(open(PATH, encoding="utf-8").read())
+    assert allows_cuts(rules)
+    rules["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(rules))
+    e, plain_one = Encoder(Format(str(tmp_path / "t.json"), added=True)), Tokenizer.from_file(str(tmp_path / "t.json"))
+    texts = ["two words, and more", "", " x", "a<|endoftext|>b c"]
+    assert not e.cuts and encoded(e, texts) == [[*plain_one.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"truncation": {"max_length": 3}}, {"pre_tokenizer": None}, {"model": rules["model"] | {"dropout": 0.1}}):
+        assert not allows_cuts(json.loads(open(PATH, encoding="utf-8").read()) | change)
+
+
+def test_a_very_long_text(spark):
+    text = "all the words of a long text, again. " * 60_000
+    store, form = Store(spark, "test-long"), Format(PATH, added=True)
+    write_store(spark.createDataFrame([(1, text), (2, text + "!"), (3, "")], "doc_id long, text string"), store, form)
+    want, at = [], 0
+    for i, t in enumerate([text, text + "!", ""], 1):
+        ids = [*PLAIN.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, read_summary(spark, store, form).collect())) == want
+
+
+def damaged(spark, change):
+    """A store, read back after change was applied to its table; its rows are written anew."""
+    store = Store(spark, "test-damage")
+    write_store(spark.createDataFrame([(i, f"text {i} " + "with words " * 30) for i in range(6)], "doc_id long, text string"), store, FORM)
+    table = spark.read.schema(token_store.STORED).parquet(store.path("store"))
+    new = store.write(change(table), "changed")
+    store.drop("store")
+    new.write.partitionBy("kind").parquet(store.path("store"))
+    return read_summary(spark, store, FORM)
+
+
+@pytest.mark.parametrize("kind", ["none", "flipped", "missing", "swapped", "root", "recipe", "count"])
+def test_damage_is_noticed(spark, kind):
+    from pyspark.sql import functions as F
+
+    is_chunk, is_doc = F.col("kind") == "chunk", (F.col("kind") == "doc") & (F.col("doc_id") == 3)
+    change = {
+        "none": lambda t: t,
+        "flipped": lambda t: t.withColumn("ids", F.when(is_chunk, F.concat(F.lit(b"\x07"), F.expr("substring(ids, 2)"))).otherwise(F.col("ids"))),
+        "missing": lambda t: t.where(~is_chunk).unionByName(t.where(is_chunk).orderBy("route").offset(1)),
+        "swapped": lambda t: t.withColumn("route", F.when(is_chunk, F.reverse(F.col("route").cast("string")).cast("binary")).otherwise(F.col("route"))),
+        "root": lambda t: t.withColumn("root", F.when(is_doc, F.unhex(F.sha2("root", 256))).otherwise(F.col("root"))),
+        "recipe": lambda t: t.withColumn("recipe", F.when(is_doc, F.reverse("recipe")).otherwise(F.col("recipe"))),
+        "count": lambda t: t.withColumn("n_tokens", F.when(is_doc, F.col("n_tokens") + 1).otherwise(F.col("n_tokens"))),
+    }[kind]
+    if kind == "none":
+        assert damaged(spark, change).count() == 6
+    else:
+        with pytest.raises(Exception, match="damaged|can't be rebuilt"):
+            damaged(spark, change).collect()
