@@ -470,16 +470,16 @@ def _renamed(classes: DataFrame) -> dict[tuple[int, int], int]:
     """Node ids of the classes that share the first half of their id with another class, few even among very many classes:
     about half their number squared, divided by 2 to the 64."""
     clashing = classes.groupBy("cid").count().where("count > 1").select("cid")
+    if not clashing.limit(1).count():
+        return {}
     found = classes.select("cid", "cid2").join(clashing, "cid").orderBy("cid", "cid2").collect()
-    for k in range(1, 100 if found else 1):
+    for k in range(1, 100):
         one, two = (np.array([r[i] for r in found], np.int64).view(U64) for i in (0, 1))
         new = mix(one ^ mix(two + U64(k))).view(np.int64).tolist()
         taken = classes.sparkSession.createDataFrame([(x,) for x in new], "cid long")
         if len(set(new)) == len(new) and not classes.join(F.broadcast(taken), "cid", "left_semi").limit(1).count():
             return {(r.cid, r.cid2): x for r, x in zip(found, new, strict=True)}
-    if found:
-        raise RuntimeError("class ids can't be told apart")
-    return {}
+    raise RuntimeError("class ids can't be told apart")
 
 
 def near_duplicates(docs: DataFrame, m: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -61,8 +61,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.sample(read_table(spark, sf_dir, "documents"))
-    return mixed.select(F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "tokens", F.round("probability", 9).alias("probability"), "sampled")
+    return mixing.sample(read_table(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 9))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

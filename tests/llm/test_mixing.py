@@ -52,7 +52,7 @@ def test_against_a_loop(spark, monkeypatch, t, most):
     if most == 0:
         t = Targets(shares=t.shares, rounds=8)
     data = rows()
-    got = sample(frame(spark, data), t).select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "sampled").collect()
+    got = sample(frame(spark, data), t).select("doc_id", "source", "lang", "topic", "tokens", "probability", "sampled").collect()
     key = lambda x: (str(x[0]), x[1], x[2], x[3], x[4])
     want = sorted([(d[0], *w) for d, w in zip(data, brute(data, t), strict=True)], key=key)
     got = sorted(map(tuple, got), key=key)
@@ -82,4 +82,21 @@ def test_sampled_rates_and_columns(spark):
     assert out.columns == ["doc_id", "text", "lang", "source", "topic"]
     counts = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
     assert counts["b"] == 1000 and 900 < counts["a"] < 1100
-    assert sample(frame(spark, []), t).count() == 0
+    assert sample(frame(spark, []), t).count() == 0 and mixed(frame(spark, []), t).count() == 0
+
+
+def test_given_topics_and_odd_rows(spark):
+    """Another topic column, very long texts, repeated rows, nulls, and columns that are called like results."""
+    from pyspark.sql import functions as F
+
+    data = [(i, "w " * (200_000 if i == 7 else 10), "en", "a", f"t{i % 2}", 0.5, True, "r") for i in range(40)]
+    data += [data[3], (None, None, None, None, None, None, None, None), (None, "x", "en", "a", "t0", 0.1, False, "r")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, topic string, probability double, sampled boolean, row string")
+    t = Targets(shares={"topic": {"short": 0.5, "long": 0.5}}, topic=lambda text: F.when(F.length(text) > 1000, F.lit("long")).otherwise(F.lit("short")))
+    got = sample(docs, t).collect()
+    assert len(got) == 43 and {r.topic for r in got} == {"short", "long"} and sum(r.tokens for r in got if r.topic == "long") == 200_000
+    assert [r.doc_id for r in got if r.sampled and r.probability < 0.1] == [] and max(r.probability for r in got) == 1.0
+    assert len({(r.doc_id, r.probability, r.sampled) for r in got if r.doc_id == 3}) == 1
+    kept = mixed(docs, t)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.sampled)

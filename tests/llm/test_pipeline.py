@@ -1,6 +1,8 @@
 import random
+import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from mergewell.llm import mixing, toxicity
 from mergewell.llm.ngram_join import Measure
@@ -95,19 +97,37 @@ def test_stages_against_plain_versions(spark, folder):
 
     table = spark.createDataFrame(list(cut.values()), clean.schema)
     mixed = by_id(stage["mixing"](spark, table, sf_dir).collect())
-    chosen = {r.row.doc_id for r in mixing.sample(table).where("sampled").collect()}
+    chosen = {r.doc_id for r in mixing.sample(table).where("sampled").collect()}
     assert mixed == {k: cut[k] for k in chosen} and len(mixed) > len(cut) / 3
 
     table = spark.createDataFrame(list(mixed.values()), clean.schema)
     rows = sorted(stage["tokens"](spark, table, sf_dir).collect())
     at = 0
-    for (doc_id, start, n, _), k in zip(rows, sorted(mixed), strict=True):
-        assert (doc_id, start, n) == (k, at, len(plain(mixed[k][1])))
+    for (doc_id, start, n, crc), k in zip(rows, sorted(mixed), strict=True):
+        ids = plain(mixed[k][1])
+        assert (doc_id, start, n, crc) == (k, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += n
 
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, rows))
 
 
+def test_odd_tables_through_all_stages(spark, tmp_path, folder):
+    """Empty tables; and null and repeated rows, a very long text and a column that is called like a result."""
+    sf_dir = f"file://{tmp_path}"
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder[0]}/{name}.parquet").limit(0).write.parquet(f"{sf_dir}/{name}.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, found string"
+    rows = [(1, "some words " * 100_000, "en", "a", 5, "x", "y"), (2, "short", "en", "a", 5, "x", "y"), (2, "short", "en", "a", 5, "x", "y"), (None, None, None, None, None, None, None), (3, "", "", "", 0, "", "")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.count() >= 3
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert corpus_pipeline.store_tokens(spark, docs.limit(0), sf_dir).count() == 0
+
+
 def test_all_ten_are_registered():
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
