@@ -1,8 +1,9 @@
 """License scans by template markup: optional and replaceable regions compile into token automata.
 
-A template is wording with markup. <<optional>> ... <<end>> may be left out, as a whole; <<any:2-6>> stands for two to six
-words of any kind. All other words must stand there as they are, one after the other. A template compiles into a list of
-steps; a set of places in that list is followed over a text's words, from each word that can begin the template.
+A template is wording with markup, from a notice to a whole license. <<optional>> ... <<end>> may be left out, as a whole; <<any:2-6>> stands for two to six
+words of any kind. All other words must stand there as they are, one after the other; one that differs, anywhere, rejects. A
+template compiles into a list of steps; a set of places in that list is followed over a text's words, from each word that can
+begin the template.
 """
 
 from __future__ import annotations
@@ -21,8 +22,21 @@ from .textvec import ALNUM, U64, Words, pieces, released
 #: Phrases that are always looked for, and their labels.
 PHRASES = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved")]
 
+_AS_IS = "this software is provided by <<any:1-8>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<any:1-8>> be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<optional>> 1 <<end>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<optional>> 2 <<end>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+
+#: Whole licenses and notices: fixed wording with replaceable names, and their labels.
+WHOLE = [
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<optional>> including the next paragraph <<end>> shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<any:1-8>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("bsd-2-clause-text", f"{_BSD} {_AS_IS}"),
+    ("bsd-3-clause-text", f"{_BSD} <<optional>> 3 <<end>> neither the name of <<any:1-8>> nor the names of <<any:1-3>> contributors may be used to endorse or promote products derived from this software without specific prior written permission {_AS_IS}"),
+    ("isc-text", "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and <<any:1-6>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<any:1-6>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("apache-2.0-notice", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at <<any:1-1>> www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-notice", "free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version <<any:1-1>> of the license or at your option any later version <<any:1-4>> is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details <<optional>> you should have received a copy of the gnu general public license along with <<any:1-4>> if not see <<any:1-1>> www gnu org licenses <<end>>"),
+]
 #: The scan's own templates and their labels.
 TEMPLATES = [
+    *WHOLE,
     ("apache-2.0", "licensed under the apache license version 2 <<optional>> 0 <<end>> <<optional>> the license <<end>>"),
     ("apache-2.0", "unless required by applicable law or agreed to in writing <<optional>> software <<end>> distributed under the license is distributed on an as is basis"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -108,8 +122,14 @@ class LicenseScanner:
     def __init__(self, phrases: list[tuple[str, str]], templates: list[tuple[str, str]]):
         self.base = [TemplateAutomaton(*x) for x in phrases]
         self.own = [TemplateAutomaton(*x) for x in templates]
-        self.anywhere = any(ANY in t.firsts for t in [*self.base, *self.own])
-        self.firsts = np.array(sorted(set().union(*(t.firsts for t in [*self.base, *self.own])) - {ANY}), U64)
+        #: Templates by the words that can begin them, and whether they are phrases.
+        self.by_first: dict[int, list[tuple[bool, TemplateAutomaton]]] = {}
+        for group in (self.base, self.own):
+            for t in group:
+                for first in t.firsts:
+                    self.by_first.setdefault(first, []).append((group is self.base, t))
+        self.anywhere = ANY in self.by_first
+        self.firsts = np.array(sorted(self.by_first.keys() - {ANY}), U64)
 
     def scan(self, words: list[int], places: list[int]) -> tuple[list[int], set[str], set[str], int]:
         """Starts of phrases, labels of phrases, all labels, and how many words are covered; places: words to try."""
@@ -117,14 +137,14 @@ class LicenseScanner:
         base: set[str] = set()
         own: set[str] = set()
         covered: set[int] = set()
+        any_first = self.by_first.get(ANY, [])
         for at in places:
-            for group, labels in ((self.base, base), (self.own, own)):
-                for t in group:
-                    if (words[at] in t.firsts or ANY in t.firsts) and (end := t.match(words, at)) > at:
-                        labels.add(t.label)
-                        covered.update(range(at, end))
-                        if group is self.base:
-                            starts.append(at)
+            for is_phrase, t in [*self.by_first.get(words[at], []), *any_first]:
+                if (end := t.match(words, at)) > at:
+                    (base if is_phrase else own).add(t.label)
+                    covered.update(range(at, end))
+                    if is_phrase:
+                        starts.append(at)
         return starts, base, base | own, len(covered)
 
 
@@ -165,8 +185,8 @@ def scan_licenses(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, tem
 
     n_base counts the places of phrases, of all labels; first_word and last_word are the first and last of them, null if
     there is none. base_labels are the labels of phrases, labels also those of templates: distinct, sorted, "" for none.
-    score is the share of words that phrases and templates cover. Null and empty texts have no words and a score of 0.
-    Other columns are not looked at.
+    score is the share of words that phrases and templates cover. Null and empty texts have no words and a score of 0. Ids may
+    be null or repeat: each row is answered by itself. Other columns are not looked at.
     """
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

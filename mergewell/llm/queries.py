@@ -64,6 +64,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(read_table(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 9))
 
 
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9 says of the phrases alone, which SQL can say too."""
+    return op9_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def mixing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op10 finds in each document before it rakes."""
+    return op10_mixing(spark, sf_dir).select("doc_id", "source", "lang", "topic", "tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_chain": op2_warc_chain,
@@ -75,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
+    "license_phrases": license_phrases,
+    "mixing_values": mixing_values,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -128,6 +140,19 @@ SQL: dict[str, str] = {
                CAST(sum(length({_ESCAPED.format("text")}) + length({_ESCAPED.format("role")}) + {_FIXED}) AS BIGINT) AS formatted_chars,
                CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attached_tokens
         FROM c GROUP BY conv_id""",
+    "license_phrases": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        p(label, phrase) AS (VALUES {", ".join(f"('{label}', {phrase.split(' ')!r})" for label, phrase in license_scan.PHRASES)}),
+        h AS (SELECT doc_id, i - 1 AS at, label FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d), p WHERE w[i:i + len(phrase) - 1] = phrase),
+        s AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
+        FROM d LEFT JOIN s USING (doc_id)""",
+    "mixing_values": r"""
+        SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+               CASE WHEN coalesce(text, '') = '' THEN 'empty' WHEN contains(text, ' | ') THEN 'table' WHEN regexp_matches(text, '[#$%&*]{3}') THEN 'symbols'
+                    WHEN contains(text, 'icense') THEN 'license' ELSE 'prose' END AS topic,
+               CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
+        FROM documents""",
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256

@@ -2,11 +2,15 @@ import random
 import re
 
 import pytest
-from mergewell.llm.license_scan import PHRASES, TEMPLATES, TemplateAutomaton, _hash, scan_licenses
+from mergewell.llm.license_scan import PHRASES, TEMPLATES, WHOLE, TemplateAutomaton, _hash, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+#: More words than any template takes.
+LONGEST = max(len(t.split()) for _, t in TEMPLATES) + 50
+
+
 def words(text):
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -28,7 +32,7 @@ def brute(rows):
             for label, template in group:
                 p = pattern(template)
                 for i in range(len(w)):
-                    if m := p.match("".join(f"{x} " for x in w[i : i + 60])):
+                    if m := p.match("".join(f"{x} " for x in w[i : i + LONGEST])):
                         labels.add(label)
                         covered |= set(range(i, i + m[0].count(" ")))
                         if is_base:
@@ -69,3 +73,26 @@ def test_mandatory_words_must_match():
     for wrong in ("<<optional>> a", "<<optional>> a <<end>>"):
         with pytest.raises(ValueError):
             TemplateAutomaton("x", wrong)
+
+
+@pytest.mark.parametrize(("label", "template"), WHOLE)
+def test_whole_licenses_reject_any_altered_word(spark, label, template):
+    """A whole text is accepted with other names and without its optional words; each mandatory word changed rejects it."""
+    r = random.Random(5)
+    fixed = re.sub(r"<<optional>>.*?<<end>>", "", template)
+    whole = re.sub(r"<<any:(\d+)-(\d+)>>", lambda m: " ".join(f"name{i}" for i in range(r.randint(int(m[1]), int(m[2]) + 0))), fixed).split()
+    named = [i for i, w in enumerate(whole) if w.startswith("name")]
+    rows = [(-1, "Intro. " + " ".join(whole).upper() + "!"), (-2, " ".join(w for w in template.split() if not w.startswith("<<")))]
+    rows += [(i, " ".join([*whole[:i], "zzz", *whole[i + 1 :]])) for i in range(len(whole)) if i not in named]
+    rows += [(10_000 + i, " ".join([*whole[:i], *whole[i + 1 :]])) for i in range(len(whole)) if i not in named and i % 7 == 3]
+    got = {x.doc_id: x.labels.split(",") for x in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert label in got[-1] and all(label not in v for k, v in got.items() if k >= 0)
+
+
+def test_a_very_long_text_and_clashing_names(spark):
+    text = "word " * 500_000 + "CC-BY " + "all rights reserved " * 3
+    rows = [(1, text, "x", 5), (1, None, "x", 5), (None, text, "x", 5)]
+    got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, labels string, n_words int"))
+    assert sorted(map(str, ((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.labels) for r in got.collect()))) == sorted(
+        map(str, [(1, 500_011, 4, 500_000, 500_008, "cc-by,reserved"), (1, 0, 0, None, None, ""), (None, 500_011, 4, 500_000, 500_008, "cc-by,reserved")])
+    )
