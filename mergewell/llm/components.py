@@ -39,6 +39,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(edges: DataFrame, store: Store, name: str, most_rounds: int = 60) -> DataFrame:
     """(node, root) of every node that isn't the smallest of its component. edges: two long columns, in any order, no nulls.
+    Repeated edges and those from a node to itself change nothing; without edges there are no rows.
 
     Each task first reduces its own edges to a forest. A round then points every node at its smallest neighbour below it,
     links its other ones to that, and shortens paths by one jump; the numbers only fall, so rounds end when none changes.

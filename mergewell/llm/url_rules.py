@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Rows that range limits are drawn from, for each range.
 DRAWN = 50
+#: Most bytes of a key, and characters of a path, in a range's limit.
+LIMIT_BYTES = 200
 
 
 def host_of(url: Column) -> Column:
@@ -82,16 +84,18 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     rules: (host, path, verdict), verdict allow or block. A rule fits its host and all subdomains where the url's path
     begins with the rule's. The longest wins: the one with the longer host, then with the longer path. Of rules that are
     equal, block wins. rule is host and path as one string; without a rule it is null and the verdict is the default. Null
-    urls and urls without :// have neither host nor path. Rules without a host, or null in a column, fit nothing.
+    urls and urls without :// have neither host nor path. Rules without a host, or null in a column, fit nothing. Rows that
+    repeat are judged each; an empty table stays empty; other columns, whatever they are called, stay inside row.
     """
     spark = pages.sparkSession
     ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     url = pages[url_col]
     urls = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"))
     urls = urls.withColumn("key", F.encode(key_of(F.col("host")), "utf-8")).withColumn("tie", F.xxhash64("row"))
-    places = urls.select("key", "path", "tie")
+    # Any limits give right results, so long keys and paths are cut short before the driver gets them.
+    places = urls.select(F.substring("key", 1, LIMIT_BYTES).alias("key"), F.left("path", F.lit(LIMIT_BYTES)).alias("path"), "tie")
     drawn = places.orderBy(F.xxhash64("key", "path", "tie"), "tie").limit(DRAWN * ranges).orderBy("key", "path", "tie").collect()
-    limits = sorted((bytes(r.key), r.path, r.tie) for r in drawn[DRAWN // 2 :: DRAWN]) if len(drawn) > DRAWN else []
+    limits = sorted((bytes(r.key), r.path, r.tie) for r in drawn[DRAWN::DRAWN]) if len(drawn) > DRAWN else []
     row = urls.schema["row"].dataType.simpleString()
     dealt = urls.mapInArrow(_dealt(limits), f"row {row}, host string, path string, key binary, tie long, part int")
     dealt = dealt.select("part", "key", F.lit(1).alias("kind"), "path", "tie", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), "row", "host")
@@ -101,6 +105,6 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     first = F.udf(lambda k: bisect_left(limits, (bytes(k), "", -(2**63))), "int")
     last = F.udf(lambda k: bisect_left(limits, (bytes(k)[:-1] + b"/", "", -(2**63))), "int")
     placed = known.withColumn("part", F.explode(F.sequence(first("key"), last("key")))).select(*dealt.columns)
-    both = dealt.unionByName(placed).repartition(ranges, "part").sortWithinPartitions("part", "key", "kind", "path", "tie")
+    both = dealt.unionByName(placed).repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "key", "kind", "path", "tie")
     swept = both.mapInArrow(_sweep, f"row {row}, host string, path string, rule string, verdict string")
     return swept.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
