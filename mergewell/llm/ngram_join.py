@@ -8,9 +8,10 @@ The tokens are a text's distinct word shingles. Three facts make the join exact
    counts, hashed, are a key that linked classes share. Sizes fall into bands, and runs are as many as the band's
    largest size asks for; a class also takes part in the band above if a partner may be there. Runs may be empty in both
    sets. Some runs beyond d + 1 are taken, and a class with more empty runs than that goes on to another layout of runs.
-3. Classes that share a key are points of an R-tree whose coordinates are counts in groups over the whole set: the more the
-   larger it is, as the bound gets weaker with tokens to a group; groups add up to fewer where sizes differ. The sum of the
-   smaller coordinates bounds the overlap of two points, and with a node's largest coordinates that of all in it.
+3. Classes that share a key are points whose coordinates are counts in groups over the whole set: about as many as tokens,
+   as the bound gets weaker with tokens to a group; groups add up to fewer. The sum of the smaller coordinates bounds the
+   overlap of two points. An R-tree over coarse coordinates bounds that of all points in two nodes by their largest ones;
+   pairs that survive it are bounded by fine coordinates, which rule out nearly all that aren't linked.
 
 Pairs that survive are verified on the full sets. A key's classes are first tried against its smallest one. Then only classes
 of different components are compared, in blocks of bounded size: first the nearest pair of each two components, which joins
@@ -37,8 +38,10 @@ INNER = 1 << 32
 LAYOUTS = 8
 #: A key's classes are compared in blocks of about so many.
 BLOCK = 2048
-#: Coordinates that are compared at once.
-AT_ONCE = 1_000_000
+#: Least and most coordinates of a point; nodes of a tree have the least.
+COARSE, FINEST = 64, 1 << 16
+#: Coordinates that are compared at once, and that the points of a key's blocks have together.
+AT_ONCE, TOGETHER = 1_000_000, 4_000_000
 #: Rounds that try the nearest pair of every two components, before all pairs that are left.
 NEAREST = 2
 #: Up to so many ids (8 bytes each) may be broadcast.
@@ -103,22 +106,36 @@ def node_ids(one: np.ndarray, two: np.ndarray, renamed: dict[tuple[int, int], in
 
 
 def groups_of(sizes: np.ndarray) -> np.ndarray:
-    """Coordinates of sets of these sizes: 64, four times as many beyond 512 tokens, and so on."""
-    more = np.ceil(np.log2(np.maximum(sizes, 512) / 512) / 3).astype(np.int64)
-    return 64 * 4 ** np.minimum(more, 4)
+    """Coordinates of sets of these sizes: the power of two that is no less, from COARSE to FINEST."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), COARSE, FINEST)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as a point: the bytes of a count, and the counts in so many bytes each."""
+    wide = 1 if counts.max(initial=0) < 256 else 2
+    return bytes([wide]) + counts.astype(f"<u{wide}").tobytes()
+
+
+def coordinates(points: list[bytes]) -> np.ndarray:
+    """How many coordinates each point has."""
+    return np.array([(len(x) - 1) // x[0] for x in points], np.int64)
 
 
 def points_matrix(points: list[bytes], groups: int) -> np.ndarray:
     """Points with so many coordinates; those of more are added up."""
     out = np.zeros((len(points), groups), np.int32)
-    lengths = np.array([len(x) // 2 for x in points], np.int64)
-    for n in np.unique(lengths).tolist():
-        at = np.flatnonzero(lengths == n)
-        rows = np.frombuffer(b"".join([points[i] for i in at.tolist()]), "<u2").reshape(len(at), n // groups, groups)
+    lengths, wide = coordinates(points), np.array([x[0] for x in points], np.int64)
+    for n, w in sorted(set(zip(lengths.tolist(), wide.tolist(), strict=True))):
+        at = np.flatnonzero((lengths == n) & (wide == w))
+        rows = np.frombuffer(b"".join([points[i][1:] for i in at.tolist()]), f"<u{w}").reshape(len(at), n // groups, groups)
         out[at] = rows.sum(1)
     return out
 
 
+def coarser(points: np.ndarray, groups: int) -> np.ndarray:
+    return points.reshape(len(points), points.shape[1] // groups, groups).sum(1)
+
+
 def _profile(m: Measure) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,8 +144,8 @@ def _profile(m: Measure) -> Callable:
                 groups = groups_of(sizes)
                 place = np.cumsum(groups) - groups
                 at = place[of] + (mix(tokens + U64(77)) % groups[of].astype(U64)).astype(np.int64)
-                counts = np.bincount(at, minlength=int(groups.sum())).astype("<u2")
-                points = pa.array([counts[a : a + n].tobytes() for a, n in zip(place.tolist(), groups.tolist(), strict=True)], pa.binary())
+                counts = np.bincount(at, minlength=int(groups.sum()))
+                points = pa.array([packed(counts[a : a + n]) for a, n in zip(place.tolist(), groups.tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(one), pa.array(two), points], names=["doc_id", "n", "cid", "cid2", "point"])
 
     return run
@@ -238,7 +255,7 @@ def _bounded(m: Measure) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_pylist() for i in (2, 3))
-            groups = np.array([min(len(x), len(y)) // 2 for x, y in zip(a, b, strict=True)], np.int64)
+            groups = np.minimum(coordinates(a), coordinates(b))
             ok = np.zeros(len(groups), bool)
             for n in np.unique(groups).tolist():
                 at = np.flatnonzero(groups == n)
@@ -331,7 +348,8 @@ def _inside(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
     """Rows sorted by key and block pair in. Out: pairs of classes of different components that no bound rules out.
 
-    Groups of a leaf's size need no tree. nearest: of each two components, only the pair with most overlap to spare."""
+    Groups of a leaf's size need no tree. Coarse coordinates come first, then all. nearest: of each two components, only the
+    pair with most overlap to spare."""
 
     def overlaps(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         step = 1 + AT_ONCE // points.shape[1]
@@ -343,16 +361,18 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
         i, j = _inside(starts[:-1][small], sizes[small])
         ok = (comp[i] != comp[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
         i, j = i[ok], j[ok]
-        total = points.sum(1)
-        ok = overlaps(points, i, j) >= m.needed(total[i], total[j])
+        total, rough = points.sum(1), coarser(points, COARSE)
+        ok = overlaps(rough, i, j) >= m.needed(total[i], total[j])
         found = [(i[ok], j[ok])]
         for g in np.flatnonzero(~small):
             own = np.arange(starts[g], starts[g + 1])
             a, b = own[block[own] == low[own]], own[block[own] == high[own]]
-            one = CountTree(points[a], comp[a])
-            x, y = one.join(one if low[own[0]] == high[own[0]] else CountTree(points[b], comp[b]), m)
+            one = CountTree(rough[a], comp[a])
+            x, y = one.join(one if low[own[0]] == high[own[0]] else CountTree(rough[b], comp[b]), m)
             found.append((a[x], b[y]))
         i, j = (np.concatenate(z) for z in zip(*found, strict=True))
+        ok = overlaps(points, i, j) >= m.needed(total[i], total[j])
+        i, j = i[ok], j[ok]
         swap = comp[i] > comp[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         if nearest and len(i):
@@ -365,9 +385,12 @@ def _across(m: Measure, nearest: bool, leaf: int = 16) -> Callable:
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     def by_size(columns: list[np.ndarray], points: list[bytes], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Groups of rows with as many coordinates as their row with the fewest, all with as many at once."""
+        """Groups of rows with as many coordinates as their row with the fewest, all with as many at once. Very many rows have
+        fewer, so that they take a bounded room."""
         _, low, high, block, cid, comp = columns
-        fewest = np.minimum.reduceat(np.array([len(x) // 2 for x in points], np.int64), starts[:-1])
+        fewest = np.minimum.reduceat(coordinates(points), starts[:-1])
+        room = 1 << np.floor(np.log2(np.maximum(TOGETHER // np.diff(starts), 1))).astype(np.int64)
+        fewest = np.maximum(COARSE, np.minimum(fewest, room))
         for n in np.unique(fewest).tolist():
             chosen = fewest == n
             sizes = np.diff(starts)[chosen]

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from mergewell.llm.ngram_join import CountTree, Measure, _inside, _sets, groups_of, near_duplicates, points_matrix, signatures
+from mergewell.llm.ngram_join import CountTree, Measure, _across, _inside, _sets, groups_of, near_duplicates, packed, points_matrix, signatures
 
 
 def shingles(text, width):
@@ -122,11 +122,41 @@ def test_pairs_of_small_groups():
 
 
 def test_points_of_many_coordinates_add_up():
-    assert groups_of(np.array([0, 1, 512, 513, 4096, 4097, 10**9])).tolist() == [64, 64, 64, 256, 256, 1024, 64 * 4**4]
+    assert groups_of(np.array([0, 1, 64, 65, 512, 513, 10**9])).tolist() == [64, 64, 64, 128, 512, 1024, 1 << 16]
     r = np.random.default_rng(1)
-    fine, coarse = r.integers(0, 9, 256).astype("<u2"), r.integers(0, 9, 64).astype("<u2")
-    got = points_matrix([fine.tobytes(), coarse.tobytes()], 64)
+    fine, coarse = r.integers(0, 9, 256), r.integers(0, 9, 64)
+    fine[7] = 300  # needs two bytes
+    got = points_matrix([packed(fine), packed(coarse)], 64)
     assert got[0].tolist() == [int(fine[k::64].sum()) for k in range(64)] and got[1].tolist() == coarse.tolist()
+    assert len(packed(fine)) == 513 and len(packed(coarse)) == 65
+
+
+@pytest.mark.parametrize("together", [4_000_000, 20_000])
+def test_pairs_below_the_threshold_are_ruled_out(monkeypatch, together):
+    """A key that hundreds of variants share, most of which are less alike than linked ones are: few of those come out, and
+    all that are linked."""
+    import mergewell.llm.ngram_join as module
+
+    monkeypatch.setattr(module, "TOGETHER", together)
+    r, m = random.Random(6), Measure(5, 80, 100)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(200):
+        words = list(base)
+        for _ in range(r.randint(1, 14)):
+            words[r.randrange(400)] = f"x{r.random()}"
+        texts.append(" ".join(words))
+    (_, _, tokens, of, sizes), = _sets(pa.array(texts), m)
+    (points,) = (b.column("point") for b in module._profile(m)(iter([pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["doc_id", "text"])])))
+    zero, number = pa.array([0] * 200, pa.int64()), pa.array(range(200), pa.int64())
+    batch = pa.RecordBatch.from_arrays([zero, zero, zero, zero, number, number, points], names=["key", "low", "high", "block", "cid", "comp", "point"])
+    got = {(a, b) for x in _across(m, False)(iter([batch])) for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)}
+    sets = [set(tokens[of == i].tolist()) for i in range(200)]
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(200) for i in range(j)}
+    linked = {k for k, v in alike.items() if v >= 0.8}
+    assert linked <= got and len(linked) < 0.5 * len(alike)
+    if together > 20_000:
+        assert all(alike[k] > 0.74 for k in got)
 
 
 def test_long_texts(spark):
