@@ -143,8 +143,8 @@ SQL: dict[str, str] = {
     "license_phrases": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         p(label, phrase) AS (VALUES {", ".join(f"('{label}', {phrase.split(' ')!r})" for label, phrase in license_scan.PHRASES)}),
-        h AS (SELECT doc_id, i - 1 AS at, label FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d), p WHERE w[i:i + len(phrase) - 1] = phrase),
-        s AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
+        h AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d), p WHERE w[i:i + len(phrase) - 1] = phrase),
+        s AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h GROUP BY doc_id)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
         FROM d LEFT JOIN s USING (doc_id)""",
     "mixing_values": r"""
