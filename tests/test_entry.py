@@ -38,7 +38,7 @@ class Broken:
 sys.meta_path.insert(0, Broken())
 try:
     import __spark_entry__
-except ModuleNotFoundError:
+except ImportError:
     sys.exit(0)
 sys.exit("the error was swallowed")
 """
