@@ -11,6 +11,7 @@ of labelled rows; every text is scored as a whole.
 
 from __future__ import annotations
 
+import gc
 import logging
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -168,7 +169,7 @@ def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 def telling(col: np.ndarray, positive: np.ndarray, y: np.ndarray, t: Training) -> np.ndarray:
     """Which features are learnt: those whose rows' labels differ most from all rows'."""
-    df, hit = np.bincount(col, minlength=t.features), np.bincount(col, positive, t.features)
+    df, hit = np.bincount(col, minlength=t.features), np.bincount(col[np.asarray(positive, bool)], minlength=t.features)
     share, enough = y.mean(), df >= max(t.least, len(y) // t.rare)
     chi = np.where(enough, (hit - df * share) ** 2 / np.maximum(df * share * (1 - share), 1e-9), -1)
     kept = np.zeros(t.features, bool)
@@ -187,9 +188,11 @@ def fit(y: np.ndarray, features: list, changes: list[list], t: Training) -> np.n
         return w
     col, row = _sparse(features)
     kept = telling(col, y[row] > 0.5, y > 0.5, t)
-    number = np.cumsum(kept) - 1
+    number = (np.cumsum(kept) - 1).astype(np.int32)
     n_kept = int(kept.sum())
-    col, row = number[col[kept[col]]], row[kept[col]]
+    learnt = kept[col]
+    col, row = number[col[learnt]], row[learnt]
+    del learnt
     swaps = [c for of_row in changes for c in of_row]
     at, of = _sparse(swaps)
     sign, at = np.sign(at).astype(float), np.abs(at) - 1
@@ -276,7 +279,10 @@ def examples(docs: DataFrame, labels: DataFrame, t: Training) -> tuple[np.ndarra
 
 def train(docs: DataFrame, labels: DataFrame, t: Training) -> np.ndarray:
     """Weights from labelled rows that aren't held out."""
-    return fit(*examples(docs, labels, t), t)
+    w = fit(*examples(docs, labels, t), t)
+    gc.collect()
+    give_back()  # the driver goes on to live too
+    return w
 
 
 def _scorer(weights, n: int) -> Callable:  # noqa: ANN001
