@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def score_text(score: Column) -> Column:
+    """A score with five decimals."""
+    return F.format_string("%.5f", score.cast("double"))
+
+
 def formatted_scores(scored: DataFrame) -> DataFrame:
     """(source1_id, candidate_id, score) with five decimals, as strings."""
-    return scored.select(F.col("s1_id").alias("source1_id"), F.col("target_id").alias("candidate_id"), F.format_string("%.5f", F.col("score").cast("double")).alias("score"))
+    return scored.select(F.col("s1_id").alias("source1_id"), F.col("target_id").alias("candidate_id"), score_text(F.col("score")).alias("score"))
 
 
 def match_results(s1: DataFrame, scored: DataFrame, threshold: float, names: tuple[str, str] = ("source1_id", "matched_id"), position: str | None = None) -> DataFrame:
